@@ -4,19 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import quality
+from weftline.llm import mixing, packing, quality, simhash, warc
+from weftline.llm.common import cut
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = cut(mixing.sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text"))
+    pieces, _ = mixing.mix(docs)
+    return mixing.taken(pieces, ["doc_id", "source", "size", "source_size", "target"])
+
+
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select("doc_id", simhash.hex_print().alias("fingerprint"), "component_id")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.roundtrip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.verdict(quality.ledger(docs)).drop("text")
 
 
 QUERIES = {
+    "op1_source_mixing": op1_source_mixing,
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op6_warc": op6_warc,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
