@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weftline.llm import mixing, packing, quality, simhash, warc
+from weftline.llm import ctw, embeddings, mixing, packing, quality, simhash, substring, warc
 from weftline.llm.common import cut
 
 
@@ -23,6 +23,15 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs).select("doc_id", simhash.hex_print().alias("fingerprint"), "component_id")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.dedup(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op4_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return warc.roundtrip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -32,6 +41,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.verdict(quality.ledger(docs)).drop("text")
@@ -40,8 +53,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
+    "op4_ctw_scoring": op4_ctw_scoring,
     "op6_warc": op6_warc,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
