@@ -1,0 +1,122 @@
+"""Readers and writers of the tab-separated files."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from weftline.functions.tables import NA_WORDS
+
+RECORD_COLUMNS = ["entity_id", "business_name", "business_address", "country"]
+TRUTH_COLUMNS = ["source1_entity_id", "matched_entity_ids"]
+
+
+def _csv(spark: SparkSession, path: str, columns: list[str], needed: list[str]) -> DataFrame:
+    """Strings only; quoted fields may hold tabs and line feeds; missing fields, NA words included, are empty.
+
+    Spark 4 skips blank lines and pads short rows on its own. The header is
+    read on the driver, for the schema.
+    """
+    head = spark.read.option("sep", "\t").option("quote", '"').option("escape", '"').option("multiLine", True).option("header", True).csv(path).columns
+    lacking = [c for c in needed if c not in head]
+    if lacking:
+        raise ValueError(f"{path}: missing column {lacking[0]}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in head])
+    read = spark.read.schema(schema).option("sep", "\t").option("quote", '"').option("escape", '"').option("multiLine", True).option("header", True).option("enforceSchema", False).csv(path)
+    return read.select([F.when(F.col(f"`{c}`").isin(NA_WORDS) | F.col(f"`{c}`").isNull(), F.lit("")).otherwise(F.col(f"`{c}`")).alias(c) for c in columns or head])
+
+
+def load_source(spark: SparkSession, path: str, nrows: int | None = None) -> DataFrame:
+    """A source table: four string columns, empty where missing, and any other columns of the file."""
+    df = _csv(spark, path, [], RECORD_COLUMNS)
+    return df if nrows is None else df.limit(nrows)
+
+
+def load_ground_truth(spark: SparkSession, path: str, nrows: int | None = None) -> DataFrame:
+    """(s1_id, matched array); of repeated ids the last row counts."""
+    df = _csv(spark, path, TRUTH_COLUMNS, TRUTH_COLUMNS).withColumn("__ord", F.monotonically_increasing_id())
+    df = df if nrows is None else df.orderBy("__ord").limit(nrows)
+    last = df.groupBy(F.col("source1_entity_id").alias("s1_id")).agg(F.max_by("matched_entity_ids", "__ord").alias("ids"))
+    return last.select("s1_id", id_list(F.col("ids")).alias("matched"))
+
+
+def id_list(joined):
+    """Ids of a comma list: distinct, without empty ones."""
+    return F.array_distinct(F.filter(F.split(F.trim(F.coalesce(joined, F.lit(""))), ","), lambda x: x != ""))
+
+
+def truth_pairs(truth: DataFrame) -> DataFrame:
+    return truth.select("s1_id", F.explode("matched").alias("cand_id"))
+
+
+def read_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """(line_no, key, rest, tabbed) of raw lines: split at the first tab, no quotes, no NA words, blank lines skipped."""
+    lines = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
+    if header:
+        lines = lines.where("line_no > 0")
+    lines = lines.where(F.trim("value") != "")
+    parts = F.split("value", "\t", 2)
+    return lines.select("line_no", parts[0].alias("key"), F.coalesce(F.get(parts, 1), F.lit("")).alias("rest"), F.contains("value", F.lit("\t")).alias("tabbed"))
+
+
+def fetch(lines: DataFrame, ids: DataFrame, id_column: str = "id") -> DataFrame:
+    """The lines whose key is among ids."""
+    return lines.join(ids.select(F.col(id_column).alias("key")).distinct(), "key", "left_semi")
+
+
+def joined_ids(pairs: DataFrame, all_ids: DataFrame, column: str) -> DataFrame:
+    """One row per id of all_ids (s1_id): its partners of pairs (s1_id, cand_id), sorted, distinct, comma-joined."""
+    lists = pairs.groupBy("s1_id").agg(F.array_join(F.array_sort(F.collect_set("cand_id")), ",").alias(column))
+    return all_ids.join(lists, "s1_id", "left").withColumn(column, F.coalesce(column, F.lit("")))
+
+
+def write_tsv(pairs: DataFrame, all_ids: DataFrame, path: str, header: tuple[str, str], order: str | None = None) -> None:
+    """One file, a row for each id of all_ids in the order of ``order`` (or of the ids)."""
+    table = joined_ids(pairs, all_ids, header[1])
+    table.orderBy(order or "s1_id").select(F.col("s1_id").alias(header[0]), header[1]).coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True).option("quote", "").option("emptyValue", "").csv(path)
+
+
+def write_parts(candidates: DataFrame, matches: DataFrame, all_ids: DataFrame, path: str) -> None:
+    """Results by country, for a later run to resume from or another machine to merge; all_ids: (s1_id, country)."""
+    both = joined_ids(candidates, all_ids, "candidates").join(joined_ids(matches, all_ids.select("s1_id"), "matches"), "s1_id")
+    both.write.mode("overwrite").partitionBy("country").parquet(path)
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    """(s1_id, candidates, matches, country); an empty country comes back from its partition as null."""
+    return spark.read.option("recursiveFileLookup", False).parquet(path).withColumn("country", F.coalesce(F.col("country").cast("string"), F.lit("")))
+
+
+def read_part_files(spark: SparkSession, path: str) -> DataFrame:
+    """(s1_id, ids) of headerless part files; an id that repeats in them is an error."""
+    rows = read_lines(spark, path, header=False).select(F.col("key").alias("s1_id"), id_list(F.col("rest")).alias("ids"))
+    twice = rows.groupBy("s1_id").count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"duplicate S1 {twice[0]['s1_id']} in {path}")
+    return rows
+
+
+class Stage:
+    """A result kept as Parquet with the configuration that made it; another configuration makes it anew."""
+
+    def __init__(self, spark: SparkSession, path: str, config: dict):
+        self.spark, self.path, self.config = spark, path.rstrip("/"), json.dumps(config, sort_keys=True)
+
+    def _kept(self) -> str | None:
+        try:
+            return self.spark.read.text(f"{self.path}/config").first()[0]
+        except Exception:  # absent or unreadable: it is made anew
+            return None
+
+    def get(self, name: str, make) -> DataFrame:
+        if self._kept() == self.config:
+            try:
+                return self.spark.read.parquet(f"{self.path}/{name}")
+            except Exception:  # this result is absent or unreadable
+                pass
+        make().write.mode("overwrite").parquet(f"{self.path}/{name}")
+        self.spark.createDataFrame([(self.config,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/config")
+        return self.spark.read.parquet(f"{self.path}/{name}")
