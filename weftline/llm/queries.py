@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weftline.llm import ctw, embeddings, mixing, packing, quality, simhash, substring, warc
+from weftline.llm import ctw, embeddings, licenses, mixing, packing, quality, quotes, simhash, substring, warc
 from weftline.llm.common import cut
 
 
@@ -32,6 +33,10 @@ def op4_ctw_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link(table(spark, sf_dir, "conversations"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return warc.roundtrip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -45,6 +50,11 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    return found.withColumn("dice", F.round("dice", 6))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.verdict(quality.ledger(docs)).drop("text")
@@ -55,13 +65,29 @@ QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_ctw_scoring": op4_ctw_scoring,
+    "op5_quotation_linking": op5_quotation_linking,
     "op6_warc": op6_warc,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
+    "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLES = {
+    "op8_embedding_near_dedup": r"""
+with recursive e as (
+  select vec_id, label, list_transform(embedding, lambda x: x::double) as v from embeddings
+), g as (
+  select * from e where label is not null and len(v) > 0 and len(list_filter(v, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(v, lambda x: x <> 0)) > 0
+), l as (
+  select a.vec_id as a, b.vec_id as b from g a join g b on a.label = b.label and len(a.v) = len(b.v) and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.v, b.v) >= 0.98
+), reach as (
+  select vec_id, vec_id as r from e union select reach.vec_id, l.b from reach join l on reach.r = l.a
+)
+select vec_id, (select count(*) from l where a = reach.vec_id)::bigint as n_links, min(r) as component_id, vec_id = min(r) as kept from reach group by vec_id
+""",
+    "op9_license_scan": licenses.sql(),
     "op10_quality_rules": r"""
 with d as (
   select doc_id, coalesce(text, '') as text,

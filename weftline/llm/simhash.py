@@ -204,6 +204,14 @@ def links(fps: DataFrame, fp: str = "fp", most: int = 3, tile: int = TILE) -> Da
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(search, "a long, b long")
 
 
+def _roots(prints: DataFrame, id_: str, most: int) -> DataFrame:
+    """(fp, least, root) of each distinct fingerprint; least is its smallest id."""
+    fps = cut(prints.groupBy("fp").agg(F.min(id_).alias("least")))
+    roots = components(links(fps, most=most))
+    linked = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    return cut(linked)
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = 3) -> DataFrame:
     """One row per row of ``docs``: its id, fp (signed long) and component_id.
 
@@ -214,14 +222,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     of null ids only has a null component_id. An empty table gives no rows.
     """
     prints = cut(with_fingerprint(docs.select(F.col(doc_id), F.col(text).alias("__wl_text")), "__wl_text").select(doc_id, "fp"))
-    fps = cut(prints.groupBy("fp").agg(F.min(doc_id).alias("least")))
-    roots = components(links(fps, most=most))
-    linked = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    linked = cut(linked)
+    linked = _roots(prints, doc_id, most)
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = linked.join(least, "root").select("fp", "component_id")
     return prints.join(by_fp, "fp")
 
 
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = 3) -> DataFrame:
+    """The rows of docs of which one stays in each component: that with the smallest id, nulls last, of equals the smallest hash."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(F.xxhash64(*columns).alias("__wl_k1"), F.xxhash64(F.lit(1), *columns).alias("__wl_k2"), F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).alias("__wl_r"))
+    at = docs.columns.index
+    slim = keyed.select("__wl_k1", "__wl_k2", F.col(f"__wl_r.c{at(doc_id)}").alias("__wl_id"), F.col(f"__wl_r.c{at(text)}").alias("__wl_text"))
+    prints = cut(with_fingerprint(slim, "__wl_text").drop("__wl_text"))
+    linked = _roots(prints, "__wl_id", most)
+    place = F.struct(F.col("__wl_id").isNull().alias("n"), F.col("__wl_id").alias("id"), F.col("__wl_k1").alias("k1"), F.col("__wl_k2").alias("k2"))
+    by_print = prints.groupBy("fp").agg(F.min(place).alias("one"))
+    kept = by_print.join(linked.select("fp", "root"), "fp").groupBy("root").agg(F.min("one").alias("one")).select(F.col("one.k1").alias("__wl_k1"), F.col("one.k2").alias("__wl_k2"))
+    rows = keyed.join(kept.hint("merge"), ["__wl_k1", "__wl_k2"], "left_semi").dropDuplicates(["__wl_k1", "__wl_k2"])
+    return rows.select(*[F.col(f"__wl_r.c{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def hex_print(fp: str = "fp"):
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
