@@ -134,7 +134,7 @@ def mix(docs: DataFrame, source: str = "source", size: str = "size", order: str
     pieces = placed.withColumn("__wl_run", F.explode_outer(runs)).withColumn("block", inside).drop("__wl_run")
     pieces = pieces.withColumn("from_word", F.greatest(F.lit(0), F.col("block") * block_words - F.col("start")))
     pieces = pieces.withColumn("to_word", F.least(F.col(size), (F.col("block") + 1) * block_words - F.col("start")))
-    joined = pieces.join(slots.withColumnsRenamed({"rank": "__wl_rank", "block": "__wl_block"}), (F.col("rank") == F.col("__wl_rank")) & (F.col("block") == F.col("__wl_block")), "left")
+    joined = pieces.join(slots.withColumnsRenamed({"rank": "__wl_rank", "block": "__wl_block"}).hint("merge"), (F.col("rank") == F.col("__wl_rank")) & (F.col("block") == F.col("__wl_block")), "left")
     return joined.drop("__wl_rank", "__wl_block", "rank"), sources
 
 
@@ -186,7 +186,8 @@ def _slots(spark, sources: pd.DataFrame, shard_slots: int, seed: int) -> DataFra
 
     bucket = F.floor(F.col("shard") / F.lit(SHARDS_PER_BUCKET)).cast("bigint")
     numbered = running_total(drawn.withColumn("__wl_bucket", bucket), ["rank"], "__wl_bucket", ["shard"], "n", "before")
-    return numbered.select("shard", "rank", "n", "first_slot", "before").mapInPandas(place, "shard long, slot long, rank long, block long, epoch long")
+    dealt = numbered.select("shard", "rank", "n", "first_slot", "before").repartition(tasks, "shard")
+    return dealt.mapInPandas(place, "shard long, slot long, rank long, block long, epoch long")
 
 
 def sized(docs: DataFrame, text: str = "text", out: str = "size") -> DataFrame:
