@@ -35,7 +35,7 @@ def test_measurements_against_brute_force(spark):
 
 
 def test_ablation_is_the_ledger_summed(spark):
-    docs = spark.createDataFrame([("a b",), ("# " * 60,), (" ".join(f"word{i}" for i in range(60)),)], "text string")
+    docs = spark.createDataFrame([("alpha beta",), ("# " * 60,), (" ".join(f"word{i}" for i in range(60)),)], "text string")
     book = quality.ledger(docs)
     found = {r.rule: (r.n_failed, r.n_only) for r in quality.ablation(book).collect()}
     assert found["few_words"] == (1, 1) and found["symbols"][0] == 1 and found["symbols"][1] == 0

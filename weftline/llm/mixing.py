@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weftline.llm.common import WORD, cut, running_total
+from weftline.llm.common import WORD, cut, running_total, words
 
 WEIGHTS = (5, 2, 1)
 MOST_PASSES = 3
@@ -210,18 +210,22 @@ def mixed_texts(docs: DataFrame, text: str = "text", source: str = "source", ord
     words taken are joined by one space, in their order. Empty documents and
     those that no slot takes have no row. Other columns pass through.
     """
-    columns = [c for c in docs.columns if c != text]
-    t = F.col("__wl_text")
-    base = docs.select(*[F.col(f"`{c}`").alias(f"__wl_c_{c}") for c in columns], F.col(f"`{source}`").alias("__wl_src"), F.col(f"`{order}`").alias("__wl_order_by"), F.col(f"`{text}`").alias("__wl_text"))
-    base = sized(base, "__wl_text", "__wl_size")
-    # Texts stay out of the mix: rows meet again by their id and a hash of the whole row, equal for equal rows only.
-    keyed = base.withColumn("__wl_key", F.struct(F.col("__wl_order_by").alias("id"), F.xxhash64(*base.columns).alias("h")))
-    slim = keyed.groupBy("__wl_key", "__wl_src", "__wl_size").agg(F.count(F.lit(1)).alias("__wl_n"))
-    slim = slim.withColumn("__wl_copy", F.explode(F.sequence(F.lit(1), F.col("__wl_n").cast("int")))).withColumn("__wl_pos", F.to_json(F.struct("__wl_key", "__wl_copy")))
+    # Texts stay out of the mix: rows meet again by two hashes of the whole row, equal for equal rows only.
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).alias("__wl_r")
+    t, src, by = (F.col(f"__wl_r.c{docs.columns.index(c)}") for c in (text, source, order))
+    keyed = docs.select(F.xxhash64(*columns).alias("__wl_k1"), F.xxhash64(F.lit(1), *columns).alias("__wl_k2"), row)
+    slim = sized(keyed.select("__wl_k1", "__wl_k2", src.alias("__wl_src"), by.cast("string").alias("__wl_by"), t.alias("__wl_t")), "__wl_t", "__wl_size")
+    slim = slim.groupBy("__wl_k1", "__wl_k2", "__wl_src", "__wl_by", "__wl_size").agg(F.count(F.lit(1)).alias("__wl_n"))
+    slim = slim.withColumn("__wl_copy", F.explode(F.sequence(F.lit(1), F.col("__wl_n").cast("int"))))
+    slim = cut(slim.withColumn("__wl_pos", F.to_json(F.struct("__wl_by", "__wl_k1", "__wl_copy"))))
     pieces, _ = mix(slim, "__wl_src", "__wl_size", "__wl_pos", **options)
-    spans = pieces.where("slot is not null").groupBy("__wl_key", "__wl_copy", "epoch").agg(F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("__wl_spans"), F.sum(F.col("to_word") - F.col("from_word")).alias("__wl_got"))
-    back = keyed.groupBy("__wl_key").agg(*[F.first(c).alias(c) for c in keyed.columns if c != "__wl_key"])
-    joined = spans.withColumnRenamed("__wl_key", "__wl_k").join(back, F.col("__wl_k").eqNullSafe(F.col("__wl_key")))
-    got = F.array_join(F.flatten(F.transform("__wl_spans", lambda s: F.slice(F.col("__wl_words"), (s["from_word"] + 1).cast("int"), (s["to_word"] - s["from_word"]).cast("int")))), " ")
-    out = joined.withColumn("__wl_words", F.array_remove(F.split(t, r"[\x20\x09-\x0D]+"), "")).withColumn("__wl_out", F.when(F.col("__wl_got") == F.col("__wl_size"), t).otherwise(got))
-    return out.select(*[(F.col("__wl_out").alias(c) if c == text else F.col(f"__wl_c_{c}").alias(c)) for c in docs.columns])
+    keys = ["__wl_k1", "__wl_k2"]
+    spans = pieces.where("slot is not null").groupBy(*keys, "__wl_size", "__wl_copy", "epoch").agg(
+        F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("__wl_spans"), F.sum(F.col("to_word") - F.col("from_word")).alias("__wl_got")
+    )
+    joined = keyed.dropDuplicates(keys).join(spans.hint("merge"), keys)
+    cutting = lambda w: F.array_join(F.flatten(F.transform("__wl_spans", lambda s: F.slice(w, (s["from_word"] + 1).cast("int"), (s["to_word"] - s["from_word"]).cast("int")))), " ")
+    part = F.get(F.transform(F.array(words(t)), cutting), F.lit(0))
+    out = F.when(F.col("__wl_got") == F.col("__wl_size"), t).otherwise(part)
+    return joined.select(*[(out if c == text else F.col(f"__wl_r.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
