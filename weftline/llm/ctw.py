@@ -39,6 +39,7 @@ FREQUENT = 1 << 18
 END = 0xFF  # no byte of UTF-8; also what stands before a text
 HELD_OUT = (7, 2)
 CHUNK = 1 << 20
+_FREE = np.uint64(0xFFFFFFFFFFFFFFFF)  # no key: depth is at most 6
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -147,24 +148,44 @@ class Tree:
 
 
 class Scorer:
-    """Probabilities of a tree, with those of recent keys at hand."""
+    """Probabilities of a tree, with those of recent keys at hand, all rounded alike."""
 
-    def __init__(self, tree: Tree, slots: int = 21):
+    def __init__(self, tree: Tree, slots: int = 22):
         self.tree, self.shift = tree, np.uint64(64 - slots)
-        self.known = np.full(1 << slots, np.uint64(0xFFFFFFFFFFFFFFFF))
-        self.value = np.zeros(1 << slots)
+        self.known = np.full(1 << slots, _FREE)
+        self.value = np.zeros(1 << slots, np.float32)
+
+    def _slot(self, asked: np.ndarray, second: bool = False) -> np.ndarray:
+        return (asked * np.uint64(0xD6E8FEB86659FD93 if second else 0x9E3779B97F4A7C15)) >> self.shift
 
     def __call__(self, asked: np.ndarray) -> np.ndarray:
-        slot = (asked * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+        slot = self._slot(asked)
         out = self.value[slot]
         missed = np.flatnonzero(self.known[slot] != asked)
+        if len(missed):
+            slot = self._slot(asked[missed], True)
+            out[missed] = self.value[slot]
+            missed = missed[self.known[slot] != asked[missed]]
         if len(missed):
             new, back = np.unique(asked[missed], return_inverse=True)
-            found = self.tree.log_probability(new)
+            found = self.tree.log_probability(new).astype(np.float32)
             out[missed] = found[back]
-            at = (new * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
-            self.known[at], self.value[at] = new, found
-        return out
+            slot = self._slot(new)
+            slot = np.where(self.known[slot] == _FREE, slot, self._slot(new, True))
+            self.known[slot], self.value[slot] = new, found
+        return out.astype(np.float64)
+
+
+class _Logs(dict):
+    """Logarithms of frequent tokens' counts; asked for another token, it notes it and gives 0."""
+
+    def __init__(self, logs: dict[bytes, float]):
+        super().__init__(logs)
+        self.rare: list[bytes] = []
+
+    def __missing__(self, token: bytes) -> float:
+        self.rare.append(token)
+        return 0.0
 
 
 def _texts(batch: pa.RecordBatch, column: str = "t") -> Iterator[tuple[int, list[bytes]]]:
@@ -186,11 +207,12 @@ def _counted(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.Recor
     found: list[tuple[np.ndarray, np.ndarray]] = []
     size = n_ends = 0
 
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        unique, at = np.unique(np.concatenate([a for a, _ in found]), return_inverse=True)
+        return unique, np.bincount(at, np.concatenate([b for _, b in found])).astype(np.int64)
+
     def grams() -> pa.RecordBatch:
-        k = np.concatenate([a for a, _ in found])
-        n = np.concatenate([b for _, b in found])
-        unique, at = np.unique(k, return_inverse=True)
-        total = np.bincount(at, n).astype(np.int64)
+        unique, total = merged()
         return pa.RecordBatch.from_arrays([pa.array(unique.view(np.int64)), pa.nulls(len(unique), pa.binary()), pa.array(total)], ["gram", "token", "n"])
 
     def words() -> pa.RecordBatch:
@@ -205,8 +227,11 @@ def _counted(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.Recor
             found.append((k, n))
             size += len(k)
             if size > 1 << 22:
-                yield grams()
-                found, size = [], 0
+                found = [merged()]
+                size = len(found[0][0])
+                if size > 1 << 21:
+                    yield grams()
+                    found, size = [], 0
             if len(tokens) > 400_000:
                 yield words()
                 tokens.clear()
@@ -240,8 +265,8 @@ def grow_tree(grams: DataFrame, depth: int = DEPTH, entries: int = ENTRIES) -> l
         if d > 1:  # depths 0 and 1 have 256 and 65,536 entries at most
             least = max(least, _largest(contexts, "total", "size", entries))
             level = level.join(contexts.where(F.col("total") >= least).select("c").hint("merge"), F.shiftright("k", 8) == F.col("c"), "left_semi")
-        table = level.toPandas()
-        out.append((table["k"].to_numpy(np.int64).view(np.uint64), table["n"].to_numpy(np.int64)))
+        table = level.toArrow()
+        out.append((table["k"].to_numpy().view(np.uint64), table["n"].to_numpy()))
     return out
 
 
@@ -269,16 +294,17 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
     tokens = scratch.put("tokens", parts.where("token is not null").groupBy("token").agg(F.sum("n").alias("c")))
     scratch.drop("counts")
     n_train, n_distinct = tokens.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    tree = Tree(grow_tree(grams, depth, entries))
     least = _largest(tokens.withColumn("one", F.lit(1)), "c", "one", frequent)
-    common = tokens.where(F.col("c") >= least).toPandas()
-    shared = spark.sparkContext.broadcast((tree, {bytes(k): int(v) for k, v in zip(common["token"], common["c"])}))
+    common = tokens.where(F.col("c") >= least).toArrow()
+    logs = dict(zip(common["token"].to_pylist(), np.log10(common["c"].to_numpy() + 1).tolist()))
+    shared = spark.sparkContext.broadcast((Tree(grow_tree(grams, depth, entries)), logs))
+    del common, logs
     model = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if model not in _HELD:
             _HELD.clear()
-            _HELD[model] = (Scorer(shared.value[0]), {k: math.log10(v + 1) for k, v in shared.value[1].items()})
+            _HELD[model] = (Scorer(shared.value[0]), _Logs(shared.value[1]))
         scorer, logs = _HELD[model]
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
@@ -289,9 +315,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
                 for t in texts:
                     words = t.split()
                     words.append(b"")
-                    values = list(map(logs.get, words))
-                    rare = Counter(w for w, v in zip(words, values) if v is None)
-                    for name, x in zip(out, (len(words), len(words) - sum(rare.values()), math.fsum(v for v in values if v is not None), list(rare), list(rare.values()))):
+                    total = sum(map(logs.__getitem__, words), 0.0)
+                    rare = Counter(logs.rare)
+                    logs.rare.clear()
+                    for name, x in zip(out, (len(words), len(words) - sum(rare.values()), total, list(rare), list(rare.values()))):
                         out[name].append(x)
                 n = len(texts)
                 types = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
