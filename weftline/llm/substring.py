@@ -168,12 +168,14 @@ def duplicate_spans(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", t
 
     factors = scratch.put("factors", keyed.mapInArrow(factor, f"h long, c long, id {kind}, th long, s long"))
     # A block that occurs once vouches for nothing. Minimum and maximum of the factors around it tell whether they differ.
+    # Each side of a join on hashes is a table of its own, so Spark can split what one hash brings together.
     blocks = factors.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("n > 1").select("h", (F.col("c0") != F.col("c1")).alias("mixed"))
-    shared = scratch.put("shared", factors.join(blocks.hint("merge"), "h"))
+    shared = scratch.put("shared", factors.join(scratch.put("blocks", blocks).hint("merge"), "h"))
     scratch.drop("factors")
     alike = shared.where("not mixed").select("id", "th", "s")
     mixed = shared.where("mixed")
     counts = mixed.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "th", "s")).alias("one"))
+    counts = scratch.put("mixed", counts)
     twice = mixed.join(counts.where("n > 1").select("h", "c").hint("merge"), ["h", "c"], "left_semi").select("id", "th", "s")
     # Boundaries: each factor that occurs once, and one of those that occur more often.
     edges = counts.select("one.id", "one.th", "one.s").groupBy(F.col("id").alias("id2"), F.col("th").alias("th2")).agg(F.collect_list("s").alias("s"))
@@ -196,9 +198,12 @@ def duplicate_spans(docs: DataFrame, scratch: Scratch, doc_id: str = "doc_id", t
 
     checked = scratch.put("checked", joined.mapInArrow(check, f"w1 long, w2 long, id {kind}, th long, s long").distinct())
     again = checked.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
-    ends = checked.join(again.hint("merge"), ["w1", "w2"], "left_semi").select("id", "th", "s")
+    ends = checked.join(scratch.put("again", again).hint("merge"), ["w1", "w2"], "left_semi").select("id", "th", "s")
     spans = alike.union(twice).union(ends)
-    return scratch.put("spans", spans.groupBy("id", "th").agg(F.collect_set("s").alias("spans")))
+    found = scratch.put("spans", spans.groupBy("id", "th").agg(F.collect_set("s").alias("spans")))
+    for name in ("blocks", "shared", "mixed", "checked", "again"):
+        scratch.drop(name)
+    return found
 
 
 def covered(n: int, spans: np.ndarray, window: int = WINDOW) -> np.ndarray:
