@@ -63,9 +63,12 @@ class Scratch:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder; Spark removes it when nothing refers to it."""
+    """A reliable checkpoint in the shared folder; Spark removes it when nothing refers to it.
+
+    Its columns are new ones, so it can be joined with what it was made from.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return df.checkpoint(eager=True).select([F.col(f"`{c}`").alias(c) for c in df.columns])
 
 
 def running_total(df: DataFrame, keys: list[str], bucket: str, order: list[str], value: str, out: str) -> DataFrame:

@@ -224,7 +224,8 @@ def mixed_texts(docs: DataFrame, text: str = "text", source: str = "source", ord
     spans = pieces.where("slot is not null").groupBy(*keys, "__wl_size", "__wl_copy", "epoch").agg(
         F.sort_array(F.collect_list(F.struct("from_word", "to_word"))).alias("__wl_spans"), F.sum(F.col("to_word") - F.col("from_word")).alias("__wl_got")
     )
-    joined = keyed.dropDuplicates(keys).join(spans.hint("merge"), keys)
+    spans = spans.withColumnsRenamed({"__wl_k1": "__wl_j1", "__wl_k2": "__wl_j2"})
+    joined = keyed.dropDuplicates(keys).join(spans.hint("merge"), (F.col("__wl_k1") == F.col("__wl_j1")) & (F.col("__wl_k2") == F.col("__wl_j2")))
     cutting = lambda w: F.array_join(F.flatten(F.transform("__wl_spans", lambda s: F.slice(w, (s["from_word"] + 1).cast("int"), (s["to_word"] - s["from_word"]).cast("int")))), " ")
     part = F.get(F.transform(F.array(words(t)), cutting), F.lit(0))
     out = F.when(F.col("__wl_got") == F.col("__wl_size"), t).otherwise(part)
