@@ -29,7 +29,7 @@ from weftline.llm.common import Scratch
 WINDOW = 35
 BLOCK = 12
 #: Words whose hashes a task holds at once, and distinct words whose hashes it keeps.
-BATCH_WORDS = 1 << 20
+BATCH_WORDS = 1 << 18
 CACHED = 300_000
 _B1, _B2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
