@@ -44,15 +44,14 @@ def test_ablation_is_the_ledger_summed(spark):
     assert quality.ledger(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op10_quality_rules", "op9_license_scan", "op8_embedding_near_dedup"])
+@pytest.mark.parametrize("name", ["op10_quality_rules", "op5_quotation_linking", "op9_license_scan", "op8_embedding_near_dedup"])
 def test_against_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.sql(f"create view {t} as from read_parquet('{sf_dir}/{t}.parquet')")
     want = con.sql(queries.ORACLES[name]).df()
     got = queries.QUERIES[name](spark, sf_dir).toPandas()[list(want.columns)]
-    key = want.columns[0]
-    norm = lambda d: d.sort_values(key).astype(object).where(d.sort_values(key).notna(), None).values.tolist()
+    norm = lambda d: sorted(repr(x) for x in d.astype(object).where(d.notna(), None).values.tolist())
     assert norm(got) == norm(want)
 
 
@@ -130,6 +129,15 @@ def test_quotations_link_and_go(spark):
     assert by[4, 0].body == "" and by[4, 0].n_quoted == 2
 
 
+def test_quotations_against_sql(spark):
+    con = duckdb.connect()
+    con.sql("create table conversations(conv_id bigint, turn bigint, role varchar, text varchar)")
+    con.executemany("insert into conversations values (?, ?, ?, ?)", [list(t) for t in TALK])
+    got = quotes.link(spark.createDataFrame(TALK, "conv_id long, turn long, role string, text string"))
+    want = con.sql(f"select {', '.join(got.columns)} from ({queries.ORACLES['op5_quotation_linking']})").fetchall()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.collect())
+
+
 def test_replies_come_after_what_they_reply_to(spark, sf_dir):
     rows = queries.op5_quotation_linking(spark, sf_dir).toPandas()
     place = {(r.conv_id, r.turn): (r.thread_id, r.position) for r in rows.itertuples()}

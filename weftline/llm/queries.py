@@ -74,6 +74,60 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_quotation_linking": r"""
+with recursive m as (
+  select conv_id, turn, role, coalesce(text, '') as t, string_split(coalesce(text, ''), chr(10)) as l from conversations
+), q as (
+  select *, list_transform(l, lambda x: regexp_matches(x, '^[ \t]*>')) as q from m
+), b as (
+  select *, list_contains(q, true) as any_q,
+    list_transform(list_filter(range(1, len(l) + 1), lambda i: not q[i] and not (regexp_matches(l[i], '^[^>]*\bwrote:[ \t]*$') and i < len(l) and q[i + 1])), lambda i: l[i]) as k from q
+), body as (
+  select conv_id, turn, role, t, case when any_q then regexp_replace(array_to_string(k, chr(10)), '^\s+|\s+$', '', 'g') else t end as body,
+    len(list_filter(q, lambda x: x))::bigint as n_quoted from b
+), known as (select * from body where conv_id is not null and turn is not null),
+ln as (
+  select conv_id, turn, t, i, l[i] as line from (select distinct b.conv_id, b.turn, b.t, b.l from b where any_q and conv_id is not null and turn is not null) x, unnest(range(1, len(x.l) + 1)) as u(i)
+), lv as (
+  select *, length(regexp_replace(regexp_extract(line, '^((?:[ \t]*>)+)', 1), '[^>]', '', 'g')) as level, regexp_replace(line, '^((?:[ \t]*>)+)', '') as said from ln
+), ch as (
+  select *, case when level is distinct from lag(level) over (partition by conv_id, turn, t order by i) then 1 else 0 end as new from lv
+), rn as (
+  select *, sum(new) over (partition by conv_id, turn, t order by i) as run from ch
+), ps as (
+  select conv_id, turn, t, run, level, string_agg(said, chr(10) order by i) as p from rn where level > 0 group by all
+), ak as (
+  select conv_id, turn, level, run, 0 as part, p as x from ps union all select conv_id, turn, level, run, 1, unnest(string_split(p, chr(10))) from ps
+), an as (
+  select *, trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g')) as n from ak
+), asked as (
+  select distinct conv_id, turn, level, run, part, md5(n) as k from an where len(string_split(n, ' ')) >= 3
+), pc as (
+  select conv_id, turn, unnest(list_distinct(list_concat([body], list_concat(string_split_regex(body, '\n[ \t\r]*\n'), string_split(body, chr(10)))))) as x from known where body <> ''
+), px as (
+  select conv_id, turn, trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g')) as n from pc
+), ix as (
+  select struct_pack(c := conv_id, u := turn) as spot, md5(n) as k from px where len(string_split(n, ' ')) >= 3 and md5(n) in (select k from asked)
+), near as (select k, spot.c as conv_id, min(spot) as near from ix group by all), first as (select k, min(near) as first from near group by k),
+fd as (
+  select a.*, coalesce(case when near < struct_pack(c := a.conv_id, u := turn) then near end, case when first < struct_pack(c := a.conv_id, u := turn) then first end) as dest
+  from asked a join first on a.k = first.k left join near on a.k = near.k and a.conv_id = near.conv_id
+), rp as (
+  select conv_id, turn, arg_min(dest, struct_pack(a := level, b := part, c := (dest.c <> conv_id)::int, d := run, e := dest)) as dest from fd where dest is not null group by 1, 2
+), hop as (
+  select conv_id as a, dest.c as b from rp where dest.c <> conv_id union select dest.c, conv_id from rp where dest.c <> conv_id
+), reach as (
+  select distinct conv_id, conv_id as r from known union select reach.conv_id, hop.b from reach join hop on reach.r = hop.a
+), th as (select conv_id, min(r) as thread_id from reach group by 1),
+tn as (select conv_id, turn, lag(turn) over (partition by conv_id order by turn) as last from (select distinct conv_id, turn from known)),
+meta as (
+  select tn.conv_id, tn.turn, thread_id, row_number() over (partition by thread_id order by tn.conv_id, tn.turn) as position, dest is not null as linked,
+    coalesce(dest.c, case when last is not null then tn.conv_id end) as reply_conv, coalesce(dest.u, last) as reply_turn
+  from tn join th on tn.conv_id = th.conv_id left join rp on tn.conv_id = rp.conv_id and tn.turn = rp.turn
+)
+select thread_id, coalesce(position, 1)::bigint as position, body.conv_id, body.turn, role, body, n_quoted, reply_conv, reply_turn, coalesce(linked, false) as linked
+from body left join meta on body.conv_id = meta.conv_id and body.turn = meta.turn
+""",
     "op8_embedding_near_dedup": r"""
 with recursive e as (
   select vec_id, label, list_transform(embedding, lambda x: x::double) as v from embeddings

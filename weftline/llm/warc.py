@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm.common import shared_dir
+from weftline.llm.common import Scratch
 
 VERSION = b"WARC/1.1"
 MAGIC = b"\x1f\x8b\x08"
@@ -220,6 +220,6 @@ def roundtrip(pages: DataFrame, with_payload: bool = False, **options) -> DataFr
     null and revisits the group's largest id. An empty table gives no rows.
     """
     spark = pages.sparkSession
-    folder = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = f"{Scratch(spark).root}/warc"
     folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
     return read(spark, write(with_revisits(pages, **options), folder), with_payload=with_payload)
