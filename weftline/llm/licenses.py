@@ -2,8 +2,8 @@
 
 A text is scanned as a whole, by paragraphs and by lines. A unit of a text is
 compared with a template only if their sizes allow the threshold. Before
-that, a text must hold one of a few bigrams of some template: a unit that
-reaches the threshold lacks less than ``spare`` bigrams of its template, so
+that, a text must hold one of a few words or bigrams of the templates: a unit
+that reaches the threshold lacks at most ``spare`` bigrams of its template, so
 it holds at least one of any spare + 1 of them.
 """
 
@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+#: Words of so many letters are looked for by themselves.
+LONG_WORD = 6
 
 # Notices of public licences, as projects print them.
 TEMPLATES = {
@@ -49,10 +51,29 @@ def bounds(size: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     return math.ceil(size * threshold / (2 - threshold) - 1e-9), math.floor(size * (2 - threshold) / threshold + 1e-9)
 
 
-def anchors(bigrams: list[str], threshold: float = THRESHOLD) -> list[str]:
-    """Bigrams of which a unit at the threshold holds at least one; the longest, as they are the rarest."""
-    spare = len(bigrams) - bounds(len(bigrams), threshold)[0]
-    return sorted(bigrams, key=lambda b: (-len(b), b))[: spare + 1]
+def pivots(known: list[list[str]], threshold: float = THRESHOLD) -> tuple[list[str], list[str]]:
+    """(words, bigrams) of which any unit that reaches the threshold with any template holds at least one.
+
+    A template needs spare + 1 of its bigrams to hold one of the words or to
+    be among the bigrams. Long words are taken first, greedily by how many
+    needs they meet; where they do not suffice, whole bigrams are added.
+    """
+    need = [len(b) - bounds(len(b), threshold)[0] + 1 for b in known]
+    left = [set(b) for b in known]
+    words: list[str] = []
+    gain = lambda w: sum(min(n, sum(w in g.split() for g in rest)) for n, rest in zip(need, left) if n > 0)
+    while True:
+        long = {w for n, rest in zip(need, left) if n > 0 for g in rest for w in g.split() if len(w) >= LONG_WORD}
+        if not long:
+            break
+        best = min(long, key=lambda w: (-gain(w), -len(w), w))
+        words.append(best)
+        for i, rest in enumerate(left):
+            met = {g for g in rest if best in g.split()}
+            need[i] -= len(met)
+            left[i] = rest - met
+    bigrams = {g for n, rest in zip(need, left) if n > 0 for g in sorted(rest, key=lambda g: (-len(g), g))[:n]}
+    return words, sorted(bigrams)
 
 
 def _bigrams(words: Column) -> Column:
@@ -72,13 +93,19 @@ def scan(docs: DataFrame, key: list[str], text: str = "text", templates: dict[st
     known = [(name, template_bigrams(t)) for name, texts in (TEMPLATES if templates is None else templates).items() for t in texts]
     known = [(name, b) for name, b in known if b]
     span = [bounds(len(b), threshold) for _, b in known]
-    some = "|".join(sorted({a.replace(" ", "[^a-z0-9]+") for _, b in known for a in anchors(b, threshold)})) or "(?!)"
+    words, pairs_ = pivots([b for _, b in known], threshold)
+    some = "|".join(g.replace(" ", "[^a-z0-9]+") for g in pairs_) or "(?!)"
     t, keys = F.col("__wl_t"), [F.col(f"`{k}`") for k in key]
-    rows = docs.select(*keys, F.lower(F.col(f"`{text}`")).alias("__wl_t"))
-    near = F.coalesce(t.rlike(some), F.lit(False))
-    rest = rows.where(~near).select(*keys, F.lit(None).cast("string").alias("license"), F.lit(None).cast("double").alias("dice"), F.lit(0).cast("long").alias("n_units"))
+
+    def near(x: Column) -> Column:
+        found = x.rlike(some)
+        for w in words:
+            found = F.contains(x, F.lit(w)) | found
+        return found
+
+    rows = docs.select(*keys, F.lower(F.col(f"`{text}`")).alias("__wl_t"), F.monotonically_increasing_id().alias("__wl_row"))
     units = F.concat(F.array(t), F.split(t, r"\n[ \t\r]*\n"), F.split(t, "\n"))
-    each = rows.where(near).withColumn("__wl_row", F.monotonically_increasing_id()).select(*keys, "__wl_row", F.explode_outer(F.filter(units, lambda u: u.rlike(some))).alias("u"))
+    each = rows.select(*keys, "__wl_row", F.explode_outer(F.when(near(t), F.filter(units, near))).alias("u"))
     each = each.withColumn("w", F.array_remove(F.split(F.regexp_replace("u", "[^a-z0-9]+", " "), " "), "")).withColumn("b", _bigrams(F.col("w")))
     sizes = [(n, name, b, len(b)) for (name, b), (low, high) in zip(known, span) for n in range(low, high + 1)]
     sized = docs.sparkSession.createDataFrame(sizes, "n int, license string, tb array<string>, tn int")
@@ -87,7 +114,7 @@ def scan(docs: DataFrame, key: list[str], text: str = "text", templates: dict[st
     good = F.when(dice >= threshold, F.struct((-dice).alias("d"), F.col("license").alias("license")))
     by_unit = pairs.withColumn("good", good).groupBy(*keys, "__wl_row", F.array_join("w", " ").alias("u")).agg(F.min("good").alias("good"))
     best = by_unit.groupBy(*keys, "__wl_row").agg(F.min("good").alias("good"), F.count("good").alias("n_units"))
-    return best.select(*keys, F.col("good.license").alias("license"), (-F.col("good.d")).alias("dice"), "n_units").unionByName(rest)
+    return best.select(*keys, F.col("good.license").alias("license"), (-F.col("good.d")).alias("dice"), "n_units")
 
 
 def sql(table: str = "documents", key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> str:
@@ -97,7 +124,8 @@ def sql(table: str = "documents", key: str = "doc_id", text: str = "text", thres
 with tpl as (select * from (values {rows}) as v(license, tb)),
 d as (select {key}, lower(coalesce({text}, '')) as t, row_number() over () as r from {table}),
 u as (select r, unnest(list_distinct(list_concat([t], list_concat(string_split_regex(t, '
-[ 	]*
+[ 	
+]*
 '), string_split(t, chr(10)))))) as u from d),
 w as (select distinct r, list_filter(string_split(regexp_replace(u, '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') as w from u),
 b as (select r, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as b, w from w),
