@@ -284,3 +284,16 @@ def test_held_out_score_of_documents(spark, sf_dir):
     got = queries.op4_ctw_scoring(spark, sf_dir).toPandas()
     held = got[got.held_out]
     assert len(got) == 200 and held.bits_per_byte.mean() < 3.5
+
+
+def test_every_context_is_kept_at_any_size(spark, monkeypatch):
+    for name, value in (("BATCH", 100_000), ("GROUP", 50_000)):
+        monkeypatch.setattr(ctw, name, value, raising=False)
+    r = random.Random(4)
+    texts = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=20_000)) for _ in range(60)]  # over 1 << 19 runs, the former bound
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = lambda k: zlib.crc32(str(k).encode()) % 7 == 2
+    tree = grown([t.encode() for i, t in enumerate(texts) if not held(i)], ctw.DEPTH)
+    for row in ctw.score(docs).collect():
+        want = tree.log_probability(ctw.keys([texts[row.doc_id].encode()], ctw.DEPTH)[0]).sum() / math.log(10)
+        assert row.score == pytest.approx(want, rel=1e-5)

@@ -10,10 +10,12 @@ trained weights: at each node on the path of a context, the share of its own
 estimate is the posterior of stopping there.
 
 Counting is a distributed sum over all training texts: byte runs of depth + 1,
-from which the counts of every depth follow. The tree keeps, at each depth,
-the most frequent contexts that fit into a fixed number of entries, so what
-is broadcast is bounded; the texts of contexts beyond are still counted in
-all shallower nodes.
+from which the counts of every depth follow. The tree keeps every context and
+is a partitioned table: all that hangs on one context of two bytes lies in one
+partition, which computes the nodes below depth 2 for itself. Only depths 0
+and 1, which the alphabet bounds, are known to all tasks. Each run of bytes
+that some text holds gets its probability once; texts are dealt in batches,
+which are joined with the probabilities of the runs that they hold.
 """
 
 from __future__ import annotations
@@ -32,8 +34,10 @@ from pyspark.sql import functions as F
 from weftline.llm.common import Scratch
 
 DEPTH = 5
-#: Entries (context, byte) of one depth of the tree; about 48 bytes each where it is held.
-ENTRIES = 1 << 19
+#: Bytes of texts whose probabilities are fetched together.
+BATCH = 1 << 25
+#: Entries of the tree that a task computes at once; whole contexts of two bytes.
+GROUP = 1 << 19
 #: Frequent tokens that every task knows the counts of; others are joined.
 FREQUENT = 1 << 18
 END = 0xFF  # no byte of UTF-8; also what stands before a text
@@ -76,15 +80,21 @@ def _log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
 
 
 class Tree:
-    """Sorted (context, byte) keys and counts of each depth, and the posterior of stopping at each node."""
+    """Sorted (context, byte) keys and counts of each depth, and the posterior of stopping at each node.
 
-    def __init__(self, entries: list[tuple[np.ndarray, np.ndarray]]):
+    entries are those of the depths from ``first`` on; below is what hangs on
+    the last of them: (node, weighted, n0, n1) of each bit, of nodes one
+    deeper. What hangs on the depth before the first stays in ``below``.
+    """
+
+    def __init__(self, entries: list[tuple[np.ndarray, np.ndarray]], first: int = 0, below: list | None = None):
+        top, ends = first, below is None
         self.keys, self.sums, self.stop = [], [], []
         for k, n in entries:
             order = np.argsort(k, kind="stable")
             self.keys.append(k[order].astype(np.uint64))
             self.sums.append(np.r_[0, np.cumsum(n[order].astype(np.int64))])
-        below: list = [None] * 8
+        below = [None] * 8 if below is None else list(below)
         stop: list = []
         deepest = len(entries) - 1
         for d in range(len(entries) - 1, -1, -1):
@@ -103,20 +113,25 @@ class Tree:
                 total = own
                 if below[j] is not None:
                     child, weighted, c0, c1 = below[j]
-                    up = np.searchsorted(node[first], child & np.uint64((1 << (8 * d + j)) - 1))
+                    up = np.searchsorted(node[first], child & np.uint64((1 << (8 * (d + top) + j)) - 1))
                     of = lambda x: np.bincount(up, x, len(first))  # noqa: E731, B023
                     rest0, rest1 = n0 - of(c0), n1 - of(c1)  # what stands in contexts that the tree leaves out
                     split = of(weighted) + np.where(rest0 + rest1 > 0, _log_kt(rest0, rest1), 0.0)
                     both = np.logaddexp(own, split)
                     total, share = both - math.log(2), np.exp(own - both)
                 held = None
-                if d < deepest:
+                if d < deepest or not ends:
                     held = np.zeros(len(k), np.float32)
                     held[first] = share
                 level.append(held)
                 below[j] = (node[first], total, n0, n1)
             stop.append(level)
-        self.stop = stop[::-1]
+        self.stop, self.below = stop[::-1], below
+
+    def under(self, top: Tree) -> Tree:
+        """This tree below the shallower depths of another."""
+        self.keys, self.sums, self.stop = top.keys + self.keys, top.sums + self.sums, top.stop + self.stop
+        return self
 
     def log_probability(self, asked: np.ndarray) -> np.ndarray:
         """The natural logarithm of the probability of each key's byte after its context."""
@@ -176,6 +191,18 @@ class Scorer:
         return out.astype(np.float64)
 
 
+class _Fetched:
+    """Logarithms of probabilities of the keys that a batch holds."""
+
+    def __init__(self, table: pa.Table):
+        found = table["gram"].to_numpy().view(np.uint64)
+        order = np.argsort(found)
+        self.keys, self.value = found[order], table["lp"].to_numpy()[order]
+
+    def log_probability(self, asked: np.ndarray) -> np.ndarray:
+        return self.value[np.searchsorted(self.keys, asked)]
+
+
 class _Logs(dict):
     """Logarithms of frequent tokens' counts; asked for another token, it notes it and gives 0."""
 
@@ -203,44 +230,62 @@ def _texts(batch: pa.RecordBatch, column: str = "t") -> Iterator[tuple[int, list
 
 
 def _counted(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
+    """(batch, gram, token, n): n counts in training texts; a run of bytes of a held-out text has 0."""
     tokens: Counter = Counter()
     found: list[tuple[np.ndarray, np.ndarray]] = []
     size = n_ends = 0
+    current = None
 
     def merged() -> tuple[np.ndarray, np.ndarray]:
         unique, at = np.unique(np.concatenate([a for a, _ in found]), return_inverse=True)
         return unique, np.bincount(at, np.concatenate([b for _, b in found])).astype(np.int64)
 
-    def grams() -> pa.RecordBatch:
+    def made(grams, words, n, of) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(n), of)), grams, words, pa.array(n, pa.int64())], ["batch", "gram", "token", "n"])
+
+    def runs() -> pa.RecordBatch:
         unique, total = merged()
-        return pa.RecordBatch.from_arrays([pa.array(unique.view(np.int64)), pa.nulls(len(unique), pa.binary()), pa.array(total)], ["gram", "token", "n"])
+        return made(pa.array(unique.view(np.int64)), pa.nulls(len(unique), pa.binary()), total, current)
 
     def words() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.nulls(len(tokens), pa.int64()), pa.array(list(tokens), pa.binary()), pa.array(list(tokens.values()), pa.int64())], ["gram", "token", "n"])
+        return made(pa.nulls(len(tokens), pa.int64()), pa.array(list(tokens), pa.binary()), list(tokens.values()), 0)
 
     for batch in batches:
-        for _, texts in _texts(batch):
-            n_ends += len(texts)
-            for t in texts:
-                tokens.update(t.split())
-            k, n = np.unique(keys(texts, depth)[0], return_counts=True)
-            found.append((k, n))
-            size += len(k)
-            if size > 1 << 22:
-                found = [merged()]
-                size = len(found[0][0])
-                if size > 1 << 21:
-                    yield grams()
-                    found, size = [], 0
-            if len(tokens) > 400_000:
-                yield words()
-                tokens.clear()
+        of, held_out = batch.column("batch").to_numpy(), batch.column("held_out").to_numpy(zero_copy_only=False)
+        edges = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else []
+        for lo, hi in zip(edges, [*edges[1:], len(of)]):
+            if current is not None and of[lo] != current and found:
+                yield runs()
+                found, size = [], 0
+            current = of[lo]
+            for first, texts in _texts(batch.slice(lo, hi - lo)):
+                held = held_out[lo + first : lo + first + len(texts)]
+                for train in (True, False):
+                    some = [t for t, h in zip(texts, held) if h != train]
+                    if not some:
+                        continue
+                    k, n = np.unique(keys(some, depth)[0], return_counts=True)
+                    found.append((k, n if train else np.zeros(len(k), np.int64)))
+                    size += len(k)
+                    if train:
+                        n_ends += len(some)
+                        for t in some:
+                            tokens.update(t.split())
+                if size > 1 << 22:
+                    found = [merged()]
+                    size = len(found[0][0])
+                    if size > 1 << 21:
+                        yield runs()
+                        found, size = [], 0
+                if len(tokens) > 400_000:
+                    yield words()
+                    tokens.clear()
     if found:
-        yield grams()
+        yield runs()
     if tokens:
         yield words()
     if n_ends:  # the end token: an empty one, which no word is
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([b""]), pa.array([n_ends], pa.int64())], ["gram", "token", "n"])
+        yield made(pa.nulls(1, pa.int64()), pa.array([b""]), [n_ends], 0)
 
 
 def _largest(table: DataFrame, weight: str, size: str, most: int) -> int:
@@ -255,25 +300,79 @@ def _largest(table: DataFrame, weight: str, size: str, most: int) -> int:
     return 1 << min(least, 62)
 
 
-def grow_tree(grams: DataFrame, depth: int = DEPTH, entries: int = ENTRIES) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Keys and counts of each depth from (gram, n), at most ``entries`` of each, the most frequent contexts first."""
-    out, least = [], 1
-    for d in range(depth + 1):
-        mask = (1 << (8 * (d + 1))) - 1
-        level = grams.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("k")).agg(F.sum("n").alias("n"))
-        contexts = level.groupBy(F.shiftright("k", 8).alias("c")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("size"))
-        if d > 1:  # depths 0 and 1 have 256 and 65,536 entries at most
-            least = max(least, _largest(contexts, "total", "size", entries))
-            level = level.join(contexts.where(F.col("total") >= least).select("c").hint("merge"), F.shiftright("k", 8) == F.col("c"), "left_semi")
-        table = level.toArrow()
-        out.append((table["k"].to_numpy().view(np.uint64), table["n"].to_numpy()))
-    return out
+def _levels(k: np.ndarray, n: np.ndarray, first: int, depth: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Keys and counts of the depths from ``first`` on, of all runs that were counted."""
+    k, n, out = k[n > 0], n[n > 0], []
+    for d in range(depth, first - 1, -1):
+        k, at = np.unique(k & np.uint64((1 << (8 * (d + 1))) - 1), return_inverse=True)
+        n = np.bincount(at, n, len(k)).astype(np.int64)
+        out.append((k, n))
+    return out[::-1]
+
+
+def _grown(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[np.ndarray, Tree]]:
+    """Keys and the tree from depth 2 on of whole contexts of two bytes, which come sorted by ``c``."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size, last = 0, None
+
+    def run() -> tuple[np.ndarray, Tree]:
+        k, n = np.concatenate([a for a, _ in held]), np.concatenate([b for _, b in held])
+        return k, Tree(_levels(k, n, 2, depth), 2)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        c, k, n = batch.column("c").to_numpy(), batch.column("gram").to_numpy().view(np.uint64), batch.column("n").to_numpy()
+        begin = np.flatnonzero(np.r_[c[0] != last, c[1:] != c[:-1]])
+        last = c[-1]
+        if size >= GROUP and len(begin):
+            held.append((k[: begin[0]], n[: begin[0]]))
+            yield run()
+            k, n, held, size = k[begin[0] :], n[begin[0] :], [], 0
+        held.append((k, n))
+        size += len(k)
+    if size:
+        yield run()
+
+
+def probabilities(grams: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(gram, lp): the logarithm of the probability of each run's last byte after the others, by the tree of all runs (gram, n)."""
+    spark, below = grams.sparkSession, None
+    rows = grams.withColumn("c", F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))).repartition("c").sortWithinPartitions("c")
+    if depth > 1:
+
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, tree in _grown(batches, depth):
+                for j, under in enumerate(tree.below):
+                    if under is not None:
+                        node, *values = under
+                        up, at = np.unique(node & np.uint64((1 << (8 + j)) - 1), return_inverse=True)
+                        found = [np.bincount(at, v) for v in values]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(up), j)), pa.array(up.view(np.int64)), *map(pa.array, found)], ["j", "node", "w", "n0", "n1"])
+
+        # Sums of whole numbers do not depend on the order of rows. At most 255 nodes of 256 contexts.
+        exact = F.sum(F.round(F.col("w") * 1e6).cast("decimal(38,0)")).cast("double") / 1e6
+        table = rows.mapInArrow(sums, "j long, node long, w double, n0 double, n1 double").groupBy("j", "node").agg(exact.alias("w"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).orderBy("j", "node").toArrow()
+        j, node, values = table["j"].to_numpy(), table["node"].to_numpy().view(np.uint64), [table[x].to_numpy() for x in ("w", "n0", "n1")]
+        below = [(node[j == i], *[v[j == i] for v in values]) if (j == i).any() else None for i in range(8)]
+    table = grams.where("n > 0").groupBy(F.col("gram").bitwiseAND(F.lit(0xFFFF)).alias("k")).agg(F.sum("n").alias("n")).toArrow()
+    shallow = _levels(table["k"].to_numpy().view(np.uint64), table["n"].to_numpy(), 0, 1)
+    shared = spark.sparkContext.broadcast(Tree(shallow, 0, below))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, tree in _grown(batches, depth):
+            tree = tree.under(shared.value)
+            for lo in range(0, len(k), 1 << 17):
+                part = k[lo : lo + (1 << 17)]
+                yield pa.RecordBatch.from_arrays([pa.array(part.view(np.int64)), pa.array(tree.log_probability(part).astype(np.float32))], ["gram", "lp"])
+
+    return rows.mapInArrow(run, "gram long, lp float")
 
 
 _HELD: dict[str, tuple] = {}
 
 
-def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, entries: int = ENTRIES, frequent: int = FREQUENT) -> DataFrame:
+def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: int = DEPTH, frequent: int = FREQUENT) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte of each row.
 
     A row is held out when crc32 of its id as text leaves 2 modulo 7; a null
@@ -289,25 +388,38 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
     modulus, rest = HELD_OUT
     held = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % modulus == rest
     base = docs.select(F.col(doc_id).alias("id"), held.alias("held_out"), F.col(text).cast("binary").alias("t"))
-    parts = scratch.put("counts", base.where(~F.col("held_out")).select("t").mapInArrow(lambda b: _counted(b, depth), "gram long, token binary, n long"))
+    kind = dict(base.dtypes)["id"]
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        row, size = part << 33, 0
+        for batch in batches:
+            n = batch.num_rows
+            before = size + np.cumsum([len(t.as_py() or b"") for t in batch.column("t")], dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((part << 32) + before // BATCH), pa.array(np.arange(row, row + n)), *batch.columns], ["batch", "row", *batch.schema.names])
+            row, size = row + n, int(before[-1]) if n else size
+
+    texts = scratch.put("texts", base.mapInArrow(numbered, f"batch long, row long, id {kind}, held_out boolean, t binary"))
+    parts = scratch.put("counts", texts.select("batch", "held_out", "t").mapInArrow(lambda b: _counted(b, depth), "batch long, gram long, token binary, n long"))
     grams = scratch.put("grams", parts.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")))
     tokens = scratch.put("tokens", parts.where("token is not null").groupBy("token").agg(F.sum("n").alias("c")))
-    scratch.drop("counts")
     n_train, n_distinct = tokens.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     least = _largest(tokens.withColumn("one", F.lit(1)), "c", "one", frequent)
     common = tokens.where(F.col("c") >= least).toArrow()
     logs = dict(zip(common["token"].to_pylist(), np.log10(common["c"].to_numpy() + 1).tolist()))
-    shared = spark.sparkContext.broadcast((Tree(grow_tree(grams, depth, entries)), logs))
+    shared = spark.sparkContext.broadcast(logs)
     del common, logs
     model = uuid.uuid4().hex
+    known = scratch.put("known", probabilities(grams, depth))
+    wanted = parts.where("gram is not null").select("batch", "gram").join(known.hint("merge"), "gram").select("batch", "gram", "lp")
+    names = ["row", "id", "held_out", "score", "bytes", "n_tokens", "n_known", "log_sum", "rare", "times"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if model not in _HELD:
             _HELD.clear()
-            _HELD[model] = (Scorer(shared.value[0]), _Logs(shared.value[1]))
-        scorer, logs = _HELD[model]
-        row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+            _HELD[model] = _Logs(shared.value)
+        logs, scorer, done = _HELD[model], Scorer(_Fetched(right), 20), []
+        for batch in left.to_batches():
             for first, texts in _texts(batch):
                 k, begins = keys(texts, depth)
                 scores = np.add.reduceat(scorer(k), begins) / math.log(10)
@@ -322,16 +434,14 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
                         out[name].append(x)
                 n = len(texts)
                 types = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + n)), batch.column("id")[first : first + n], batch.column("held_out")[first : first + n], pa.array(scores), pa.array([len(t) for t in texts], pa.int64()), *[pa.array(v, y) for v, y in zip(out.values(), types)]],
-                    ["row", "id", "held_out", "score", "bytes", *out],
-                )
-                row += n
+                done.append(pa.RecordBatch.from_arrays([*[batch.column(c)[first : first + n] for c in names[:3]], pa.array(scores), pa.array([len(t) for t in texts], pa.int64()), *[pa.array(v, y) for v, y in zip(out.values(), types)]], names))
+        return pa.Table.from_batches(done)
 
-    kind = dict(base.dtypes)["id"]
     schema = f"row long, id {kind}, held_out boolean, score double, bytes long, n_tokens long, n_known long, log_sum double, rare array<binary>, times array<long>"
-    scored = scratch.put("scored", base.mapInArrow(run, schema))
+    scored = scratch.put("scored", texts.groupBy("batch").cogroup(wanted.groupBy("batch")).applyInArrow(run, schema))
     shared.unpersist()
+    for name in ("texts", "counts", "grams", "known"):
+        scratch.drop(name)
     lone = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("token"), F.col("x.times").alias("times"))
     found = lone.join(tokens.where(F.col("c") < least).hint("merge"), "token")
     # Sums of whole numbers of 1e-12 do not depend on the order of rows.
