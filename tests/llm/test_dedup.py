@@ -232,3 +232,18 @@ def test_registered_queries_cover_their_tables(spark, sf_dir):
         ids = queries.table(spark, sf_dir, source).select(key)
         got = queries.QUERIES[name](spark, sf_dir).select(F.col(key))
         assert got.count() == ids.count() and not got.exceptAll(ids).count()
+
+
+def test_large_labels_lose_no_link(spark):
+    r = np.random.default_rng(6)
+    x = r.standard_normal((1500, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    u = r.standard_normal((1500, 16))
+    u -= (u * x).sum(axis=1)[:, None] * x
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    both = np.concatenate([x, 0.9802 * x + math.sqrt(1 - 0.9802**2) * u])
+    unit = both / np.linalg.norm(both, axis=1)[:, None]
+    want = (unit @ unit.T >= embeddings.THRESHOLD).sum(axis=1) - 1
+    rows = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(both)], "vec_id long, embedding array<double>, label int")
+    got = {g.vec_id: g.n_links for g in embeddings.near_duplicates(rows, bucket=300).collect()}
+    assert [got[i] for i in range(3000)] == want.tolist() and want.sum() >= 3000

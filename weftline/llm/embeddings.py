@@ -1,9 +1,8 @@
 """Embedding near-duplicates by randomly rotated binary codes.
 
-Equal vectors are one class. Classes of a label are dealt by random
-hyperplanes into buckets of bounded expectation, over as many tables as a
-chosen recall needs; a label that fits into one bucket is compared whole. In
-a bucket each vector is taken relative to the bucket's centroid, rotated at
+Equal vectors are one class. All classes of a label are compared with each
+other: a label that fits into one tile whole, a larger one as pairs of tiles,
+so every pair meets once. In a pair of tiles each vector is taken relative to the centroid, rotated at
 random and kept as one bit per dimension with two stored factors: its length
 and its inner product with its own code. The code gives an unbiased estimate
 of an inner product and the second factor its confidence bound. A pair whose
@@ -24,15 +23,14 @@ from pyspark.sql import functions as F
 from weftline.llm.common import components, cut
 
 THRESHOLD = 0.98
-#: Vectors of a bucket in expectation, and in one tile of a bucket that grew larger.
+#: Vectors of a label in one tile, at most in expectation.
 BUCKET = 4096
 TILE = 8192
-#: Chance that a pair just at the threshold meets in a bucket.
+#: Chance that a pair just at the threshold meets, for ``tables``.
 RECALL = 0.995
 #: Standard errors of the bound on an estimate.
 SIGMAS = 4.0
 BLOCK = 512
-MOST_BITS = 24
 
 
 def tables(bits: int, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
@@ -41,10 +39,6 @@ def tables(bits: int, threshold: float = THRESHOLD, recall: float = RECALL) -> i
     return 1 if meet >= 1 else max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
 
 
-def planes(dim: int, table: int, bits: int, seed: int) -> np.ndarray:
-    return np.random.Generator(np.random.Philox(key=[seed, table])).standard_normal((bits, dim))
-
-
 def rotation(dim: int, seed: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.Generator(np.random.Philox(key=[seed, 1 << 32])).standard_normal((dim, dim)))
     return q * np.sign(np.diag(r))
@@ -130,41 +124,21 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     lone = rows.where(~F.col("good")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     valid = rows.where("good").select("id", "label", F.transform(scaled, lambda e: F.when(e == 0, F.lit(0.0)).otherwise(e)).alias("v"))
     classes = cut(valid.groupBy("label", "v").agg(F.min("id").alias("cid"), F.count(F.lit(1)).alias("m")).withColumn("dim", F.size("v")))
-    sizes = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
-    bits = F.least(F.lit(MOST_BITS), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / F.lit(float(bucket)))).cast("int")))
-    sized = classes.join(sizes.withColumn("bits", bits).withColumnsRenamed({"label": "l2", "dim": "d2"}).hint("merge"), (F.col("label") == F.col("l2")) & (F.col("dim") == F.col("d2"))).select("cid", "m", "label", "dim", "bits", "v")
-
-    def place(batches):
-        for batch in batches:
-            out = []
-            for (dim, b), part in batch.groupby(["dim", "bits"], sort=False):
-                v = np.stack(part["v"].to_numpy())
-                found = [((v @ planes(dim, t, b, seed).T > 0) @ (1 << np.arange(b))) if b else np.zeros(len(v), np.int64) for t in range(tables(b, threshold))]
-                out.append(part.assign(places=list(np.stack(found, axis=1).astype(np.int64))))
-            if out:
-                yield pd.concat(out)
-
     kind = classes.schema
-    placed = cut(sized.mapInPandas(place, f"cid {kind['cid'].dataType.simpleString()}, m long, label {kind['label'].dataType.simpleString()}, dim int, bits int, v array<double>, places array<long>"))
-    spread = placed.select("*", F.posexplode("places").alias("t", "p")).drop("bits")
-    keys = ["label", "dim", "t", "p"]
-    hot = cut(spread.groupBy(*keys).count().where(F.col("count") > tile).select(*keys, F.ceil(F.col("count") / tile).cast("int").alias("tiles")))
-    if hot.limit(1).count():
-        spread = spread.join(hot.hint("merge"), keys, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
-        own = F.pmod(F.xxhash64("v"), F.col("tiles")).cast("int")
-        spread = spread.withColumn("own", own).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        spread = spread.withColumns({"lo": F.least("own", "u"), "hi": F.greatest("own", "u")}).drop("u", "tiles")
-    else:
-        spread = spread.withColumns({"own": F.lit(0), "lo": F.lit(0), "hi": F.lit(0)})
+    keys = ["label", "dim"]
+    size = min(bucket, tile)
+    sizes = classes.groupBy(*keys).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / size)).cast("int").alias("tiles"))
+    spread = classes.join(sizes.withColumnsRenamed({"label": "l2", "dim": "d2"}).hint("merge"), (F.col("label") == F.col("l2")) & (F.col("dim") == F.col("d2"))).drop("l2", "d2")
+    own = F.pmod(F.xxhash64("v"), F.col("tiles")).cast("int")
+    spread = spread.withColumn("own", own).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    spread = spread.withColumns({"lo": F.least("own", "u"), "hi": F.greatest("own", "u")}).drop("u", "tiles")
 
     def compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        t, tiled = key[2], key[4] != key[5]
+        tiled = key[2] != key[3]
         v = np.stack(part["v"].to_numpy()).astype(np.float64)
-        m, places = part["m"].to_numpy(), np.stack(part["places"].to_numpy())
+        m = part["m"].to_numpy()
         count, labels = np.zeros(len(v), np.int64), np.arange(len(v))
         for a, b in linked(v, threshold, sigmas, seed, part["own"].to_numpy() if tiled else None):
-            new = ~(places[a, :t] == places[b, :t]).any(axis=1) if t else np.ones(len(a), bool)  # counted in the first table where both meet
-            a, b = a[new], b[new]
             np.add.at(count, a, m[b])
             np.add.at(count, b, m[a])
             _unite(labels, a, b)
