@@ -27,3 +27,10 @@ def test_against_sql(spark, sf_dir, con, name):
 def test_a_model_is_trained_and_applied(spark, sf_dir):
     rows = catalog.gbt_match(spark, sf_dir).collect()
     assert len(rows) == 20 and all(set(filter(None, r.matched_entity_ids.split(","))) <= set(r.candidate_entity_ids.split(",")) for r in rows)
+
+
+def test_every_record_gets_matches(spark, sf_dir):
+    rows = catalog.gbt_match_all(spark, sf_dir).collect()
+    want = {r.s1_id for r in catalog._s1_ids(spark, sf_dir).collect()}
+    assert len(rows) == len(want) and {r.s1_id for r in rows} == want
+    assert all(set(filter(None, r.matched_entity_ids.split(","))) <= set(r.candidate_entity_ids.split(",")) for r in rows)

@@ -378,6 +378,23 @@ def gbt_match(spark: SparkSession, d: str) -> DataFrame:
     return assemble.results(matcher.predict(model, held_out), held_out, val, threshold)
 
 
+@query()
+def gbt_match_all(spark: SparkSession, d: str) -> DataFrame:
+    """Matches of every S1 record: each half, by a hash of the id, gets the model and the threshold of the other half."""
+    s1, pool = views.sides(spark, d)
+    truth = views.truth(spark, d)
+    ids = _s1_ids(spark, d).withColumn("fold", F.pmod(F.crc32("s1_id"), F.lit(2)))
+    rows = features.build_rows(blocking.block_all(s1, pool), s1, pool, truth).join(ids, "s1_id").cache()
+    out = None
+    for fold in (0, 1):
+        seen, asked = rows.where(F.col("fold") != fold).drop("fold"), rows.where(F.col("fold") == fold).drop("fold")
+        model = matcher.train(seen)
+        threshold, _ = matcher.fit_threshold(model, seen, truth, ids.where(F.col("fold") != fold).select("s1_id"))
+        found = assemble.results(matcher.predict(model, asked), asked, ids.where(F.col("fold") == fold).select("s1_id"), threshold)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 _JOINED = "coalesce(string_agg(distinct {0}, ',' order by {0}), '')"
 
 
