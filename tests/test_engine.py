@@ -38,12 +38,18 @@ def test_writing(spark, tmp_path):
     ids = spark.createDataFrame([("S1-2", 0), ("S1-1", 1), ("S1-3", 2)], "s1_id string, at int")
     pairs = spark.createDataFrame([("S1-1", "S3-1"), ("S1-1", "S2-1"), ("S1-1", "S3-1")], "s1_id string, cand_id string")
     tsv.write_tsv(pairs, ids, str(tmp_path / "o"), ("a", "b"), "at")
-    part = next((tmp_path / "o").glob("part-*"))
-    assert part.read_text() == "a\tb\nS1-2\t\nS1-1\tS2-1,S3-1\nS1-3\t\n"
+    assert (tmp_path / "o").read_text() == "a\tb\nS1-2\t\nS1-1\tS2-1,S3-1\nS1-3\t\n"
     both = spark.createDataFrame([("S1-1", "US"), ("S1-2", ""), ("S1-3", "A B")], "s1_id string, country string")
     tsv.write_parts(pairs, pairs.limit(0), both, str(tmp_path / "parts"))
     back = {r.s1_id: (r.country, r.candidates, r.matches) for r in tsv.read_parts(spark, str(tmp_path / "parts")).collect()}
     assert back == {"S1-1": ("US", "S2-1,S3-1", ""), "S1-2": ("", "", ""), "S1-3": ("A B", "", "")}
+    tsv.write_part_files(pairs, pairs.limit(0), both, str(tmp_path / "files"))
+    assert (tmp_path / "files" / ".part_A_B_cand.tsv").read_text() == "S1-3\t\n" and (tmp_path / "files" / ".part_US_cand.tsv").read_text() == "S1-1\tS2-1,S3-1\n"
+    cand, match = tsv.read_part_folder(spark, str(tmp_path / "files"))
+    assert {r.s1_id: r.ids for r in cand.collect()} == {"S1-1": ["S2-1", "S3-1"], "S1-2": [], "S1-3": []} and match.count() == 3
+    (tmp_path / "files" / ".part_US_match.tsv").unlink()
+    with pytest.raises(ValueError, match="missing match part"):
+        tsv.read_part_folder(spark, str(tmp_path / "files"))
 
 
 def test_stage_is_made_anew_for_another_config(spark, tmp_path):
@@ -52,6 +58,9 @@ def test_stage_is_made_anew_for_another_config(spark, tmp_path):
     assert tsv.Stage(spark, str(tmp_path / "s"), {"k": 1}).get("x", make).count() == 1
     assert tsv.Stage(spark, str(tmp_path / "s"), {"k": 1}).get("x", make).count() == 1
     assert tsv.Stage(spark, str(tmp_path / "s"), {"k": 2}).get("x", make).count() == 2
+    for k in ("A", "B"):
+        stage = tsv.Stage(spark, str(tmp_path / "t"), {"k": k})
+        assert [stage.get(name, lambda: spark.createDataFrame([(k,)], "k string")).first().k for name in ("train", "val")] == [k, k]  # noqa: B023
 
 
 def records(spark, *rows):
@@ -116,7 +125,7 @@ def test_merge_errors(spark):
     [
         (["source1_entity_id,matched_entity_ids"], "not tab-separated"), (["a\tb"], "the header is"), (["H", "S1-1"], "malformed"), (["H", "S1-1\t", "S1-1\t"], "duplicate_s1"),
         (["H", "S1-1\tS2-1,S2-1"], "repeated_id"), (["H", "S1-1\tS1-2"], "self_match"), (["H", "S1-1\tX-1"], "bad_prefix"), (["H", "S1-1\tS2-8"], "unknown_id"), (["H"], "missing_s1"),
-        (["H", "S1-1\t", "S1-5\t"], "unexpected_s1"), (["H", "S1-1\tS2-1"], None),
+        (["H", "S1-1\t", "S1-5\t"], "unexpected_s1"), (["H", "S1-1\t S2-1"], "bad_prefix"), (["H", "S1-1\tS2-1,,S3-1"], "bad_prefix"), (["H", "S1-1\tS2-1"], None),
     ],
 )
 def test_validator(spark, tmp_path, lines, rule):
@@ -134,6 +143,21 @@ def test_validator(spark, tmp_path, lines, rule):
     assert not validate.validate(spark, str(tmp_path / "absent"), None, str(tmp_path)).passed
 
 
+def test_a_line_that_is_not_utf8_fails_the_file(spark, tmp_path):
+    write(tmp_path / "test_source1.tsv", "entity_id\tbusiness_name\tbusiness_address\tcountry", "S1-1\ta\tb\tUS")
+    (tmp_path / "m.tsv").write_bytes(b"source1_entity_id\tmatched_entity_ids\nS1-1\tS2-\xe9\n")
+    assert "not UTF-8" in validate.validate(spark, str(tmp_path / "m.tsv"), None, str(tmp_path)).errors[0]
+
+
+def test_tiles_and_chunks_give_the_same_candidates(spark, sf_dir):
+    from weftline.plans import views
+
+    queries, pool = blocking.shards(*views.sides(spark, sf_dir))
+    index = blocking.build_index(pool)
+    rows = lambda df: {(r.s1_id, r.cand_id, r["rank"]) for r in df.collect()}
+    assert rows(blocking.query_topk(*index, queries)) == rows(blocking.query_topk(*index, queries, tile=500, chunk=5))
+
+
 def business(tmp_path, kind):
     head = "entity_id\tbusiness_name\tbusiness_address\tcountry"
     names = [f"{a} {b}" for a in ("blue", "red", "old", "new", "grand") for b in ("moon cafe", "star hotel", "river mill", "oak bakery")]
@@ -152,8 +176,8 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["train", "--train-dir", d, "--out", f"{d}/model", "--val-size", "6", "--rounds", "3", "--top-k", "5"], spark) == 0
     assert "macro F0.5" in capsys.readouterr().out
     assert cli.main(["infer", "--test-dir", d, "--model", f"{d}/model", "--out", f"{d}/out", "--top-k", "5", "--use-zip-block"], spark) == 0
-    assert cli.main(["merge-parts", "--parts", f"{d}/out/parts", "--test-dir", d, "--out", f"{d}/merged"], spark) == 0
-    assert cli.main(["validate", "--matching", f"{d}/merged/matching_results", "--candidate", f"{d}/merged/candidate_pairs", "--test-dir", d, "--check-ids"], spark) == 0
+    assert cli.main(["merge-parts", "--parts", f"{d}/out", "--test-dir", d, "--out", f"{d}/merged"], spark) == 0
+    assert cli.main(["validate", "--matching", f"{d}/merged/matching_results.tsv", "--candidate", f"{d}/merged/candidate_pairs.tsv", "--test-dir", d, "--check-ids"], spark) == 0
     assert cli.main(["recall-audit", "--train-dir", d, "--n", "10", "--top-ks", "2,5"], spark) == 0
     assert cli.main(["explore", "all", "--train-dir", d], spark) == 0
 

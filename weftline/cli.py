@@ -30,8 +30,8 @@ def _ids(s1: DataFrame) -> DataFrame:
 
 
 def _pairs(s1: DataFrame, pool: DataFrame, truth: DataFrame | None, a) -> DataFrame:
-    one, all_ = normalised(s1), normalised(pool)
-    found = blocking.block_all(one, all_, a.top_k, a.max_features, a.min_df, a.use_zip_block, a.zip_cap)
+    one, all_ = normalised(s1), normalised(pool).withColumn("at", F.monotonically_increasing_id())
+    found = blocking.block_all(one, all_, a.top_k, a.max_features, a.min_df, a.use_zip_block, a.zip_cap, "at")
     return features.build_rows(found, one, all_, truth)
 
 
@@ -54,9 +54,11 @@ def train(spark: SparkSession, a) -> None:
 
     fit = stage.get("train", lambda: rows(train_ids))
     held = stage.get("val", lambda: rows(val_ids))
-    model = matcher.train(fit, a.rounds, a.seed, a.neg_per_pos)
+    totals = profile.pair_totals(fit).first()
+    print(f"pairs {totals['n_pairs']}, pos_rate {totals['pos_rate']:.4f}")
+    model = matcher.train(fit, a.rounds, a.seed, a.neg_per_pos, a.depth, a.rate)
     threshold, best = matcher.fit_threshold(model, held, truth, val_ids)
-    matcher.save(model, threshold, a.out)
+    matcher.save(model, threshold, a.out, config)
     base = evaluate.best_threshold(evaluate.sweep(held, truth, val_ids, "tfidf", evaluate.BASELINE_THRESHOLDS)).first()
     recall = blocking.blocking_recall(held, truth, val_ids).first()["recall"]
     print(f"blocking recall {recall:.4f}; macro F0.5 {best:.4f} at {threshold}; TF-IDF alone {base['macro_f05']:.4f} at {base['threshold']}")
@@ -72,9 +74,9 @@ def infer(spark: SparkSession, a) -> None:
     scored = stage.get("scored", lambda: matcher.predict(model, _pairs(s1, pool, None, a)))
     order = s1.select(F.col("entity_id").alias("s1_id"), "country").withColumn("at", F.monotonically_increasing_id())
     matches = scored.where(F.col("prob") >= threshold)
-    tsv.write_parts(scored, matches, order.select("s1_id", "country"), f"{a.out}/parts")
-    tsv.write_tsv(scored, order, f"{a.out}/candidate_pairs", validate.CANDIDATE_HEADER, "at")
-    tsv.write_tsv(matches, order, f"{a.out}/matching_results", validate.MATCH_HEADER, "at")
+    tsv.write_part_files(scored, matches, order, a.out, "at")
+    tsv.write_tsv(scored, order, f"{a.out}/candidate_pairs.tsv", validate.CANDIDATE_HEADER, "at")
+    tsv.write_tsv(matches, order, f"{a.out}/matching_results.tsv", validate.MATCH_HEADER, "at")
 
 
 def recall_audit(spark: SparkSession, a) -> None:
@@ -87,17 +89,15 @@ def recall_audit(spark: SparkSession, a) -> None:
     found = blocking.query_topk(*blocking.build_index(shard_pool, a.max_features, a.min_df), queries, ks[-1]).persist()
     by_zip = blocking.zip_block(queries, shard_pool, a.zip_cap) if a.use_zip_block else None
     blocking.recall_at_k(found, truth, ids, ks, by_zip).orderBy("k").show()
+    found.unpersist()
 
 
 def merge_parts(spark: SparkSession, a) -> None:
     s1 = _ids(tsv.load_source(spark, f"{a.test_dir}/test_source1.tsv")).withColumn("at", F.monotonically_increasing_id())
-    parts = []
-    for folder in a.parts:
-        rows = tsv.read_parts(spark, folder)
-        parts.append(tuple(rows.select("s1_id", tsv.id_list(F.col(c)).alias("ids")) for c in ("candidates", "matches")))
+    parts = [tsv.read_part_folder(spark, folder) for folder in a.parts]
     merged = assemble.merge_parts(parts, s1.select("s1_id", "country"), a.empty_countries)
     for column, header, name in (("candidates", validate.CANDIDATE_HEADER, "candidate_pairs"), ("matches", validate.MATCH_HEADER, "matching_results")):
-        tsv.write_tsv(merged.select("s1_id", F.explode(column).alias("cand_id")), s1, f"{a.out}/{name}", header, "at")
+        tsv.write_tsv(merged.select("s1_id", F.explode(column).alias("cand_id")), s1, f"{a.out}/{name}.tsv", header, "at")
 
 
 def check(spark: SparkSession, a) -> int:
@@ -144,8 +144,9 @@ def parser() -> argparse.ArgumentParser:
     p = command("train", train, index)
     for name in ("--train-dir", "--out"):
         p.add_argument(name, required=True)
-    for name, value in (("--val-size", 50_000), ("--max-train-s1", 0), ("--max-s23", 0), ("--neg-per-pos", 4), ("--rounds", 50)):
+    for name, value in (("--val-size", 50_000), ("--max-train-s1", 0), ("--max-s23", 0), ("--neg-per-pos", 4), ("--rounds", 50), ("--depth", 7)):
         p.add_argument(name, type=int, default=value)
+    p.add_argument("--rate", type=float, default=0.1)
     p.add_argument("--train-countries", default="")
     p.add_argument("--val-countries", default="")
     p.add_argument("--resume", action="store_true")

@@ -1,28 +1,35 @@
 """Candidate generation: TF-IDF top-k by country, and the postal-code pass.
 
-Everything is one program keyed by shard; no loop over countries and no
-matrix. The index is a long table of (shard, term, entity, weight), so a
-query is an equi-join on the term, a sum, and a ranked window that Spark
-cuts to k rows before it shuffles.
+Everything is one program keyed by shard; no loop over countries. The index
+is a long table of (shard, term, entity, weight). A query deals the records of
+a shard to tiles and its queries to chunks; each tile meets each chunk in one
+task, which adds up the postings of a query's terms and keeps its k best, so
+only k rows for each query and tile are shuffled, never the scored pairs.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 #: The shard of records whose country no candidate has; its pool is everything.
 EVERYWHERE = "\u0001all"
+#: Postings of a tile and queries of a chunk, in expectation: what one task holds.
+TILE = 1 << 20
+CHUNK = 1 << 13
 
 
 def shards(s1: DataFrame, pool: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Adds shard to both sides: the country, or EVERYWHERE for S1 countries without candidates, with the whole pool."""
     known = pool.select("country").distinct().withColumn("__known", F.lit(True))
     queries = s1.join(known, "country", "left").withColumn("shard", F.when(F.col("__known"), F.col("country")).otherwise(F.lit(EVERYWHERE))).drop("__known")
-    wanted = queries.where(F.col("shard") == EVERYWHERE).select("shard").limit(1)
-    everything = pool.withColumn("shard", F.lit(EVERYWHERE)).join(F.broadcast(wanted), "shard", "left_semi")  # one row at most
-    return queries, pool.withColumn("shard", F.col("country")).unionByName(everything)
+    held = pool.withColumn("shard", F.col("country"))
+    if queries.where(F.col("shard") == EVERYWHERE).isEmpty():  # a look at countries only, which spares the pool's second pass
+        return queries, held
+    return queries, held.unionByName(pool.withColumn("shard", F.lit(EVERYWHERE)))
 
 
 def ngrams(tokens: Column) -> Column:
@@ -38,20 +45,20 @@ def term_counts(records: DataFrame, tokens: str = "block") -> DataFrame:
 
 
 def vocabulary(counts: DataFrame, pool: DataFrame, max_features: int = 300_000, min_df: int = 2) -> DataFrame:
-    """(shard, term, df, total, idf): terms of min_df records or more, the max_features most frequent of each shard."""
+    """(shard, term, number, df, total, idf): terms of min_df records or more, the max_features most frequent of each shard, numbered from 1."""
     docs = pool.groupBy("shard").agg(F.countDistinct("entity_id").alias("n"))
     terms = counts.groupBy("shard", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")).where(F.col("df") >= min_df)
     rank = F.row_number().over(Window.partitionBy("shard").orderBy(F.desc("total"), "term"))
-    terms = terms.withColumn("__rank", rank).where(F.col("__rank") <= max_features).drop("__rank")
+    terms = terms.withColumn("number", rank).where(F.col("number") <= max_features)
     return terms.join(docs, "shard").withColumn("idf", F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0).drop("n")
 
 
 def weigh(counts: DataFrame, terms: DataFrame) -> DataFrame:
-    """(shard, term, entity_id, w): sublinear tf times idf, of unit length for each record."""
+    """(shard, term, number, entity_id, w): sublinear tf times idf, of unit length for each record."""
     w = (1.0 + F.log("tf")) * F.col("idf")
-    rows = counts.join(terms.select("shard", "term", "idf"), ["shard", "term"]).withColumn("w", w)
+    rows = counts.join(terms.select("shard", "term", "number", "idf"), ["shard", "term"]).withColumn("w", w)
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("shard", "entity_id")))
-    return rows.select("shard", "term", "entity_id", (F.col("w") / norm).alias("w"))
+    return rows.select("shard", "term", "number", "entity_id", (F.col("w") / norm).alias("w"))
 
 
 def build_index(pool: DataFrame, max_features: int = 300_000, min_df: int = 2) -> tuple[DataFrame, DataFrame]:
@@ -67,11 +74,64 @@ def ranked(scores: DataFrame, k: int) -> DataFrame:
     return scores.where("tfidf > 0").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def query_topk(terms: DataFrame, weights: DataFrame, queries: DataFrame, k: int = 30) -> DataFrame:
+def _flat(table: pa.Table, column: str) -> np.ndarray:
+    return table[column].combine_chunks().flatten().to_numpy()
+
+
+def _best_of_tile(queries: pa.Table, pool: pa.Table, k: int) -> pa.Table:
+    """The k best records of a tile for each query of a chunk: (s1_id, cand_id, tfidf)."""
+    ids = pool["entity_id"].to_pylist()
+    by_id = sorted(range(len(ids)), key=lambda i: ids[i].encode())  # of equal scores the smaller id comes first
+    place = np.empty(len(ids), np.int64)
+    place[by_id] = np.arange(len(ids))
+    sizes = pool["number"].combine_chunks().value_lengths().to_numpy()
+    number, w = _flat(pool, "number"), _flat(pool, "w")
+    order = np.argsort(number, kind="stable")
+    number, w, record = number[order], w[order], np.repeat(place, sizes)[order]
+    asked, weight = _flat(queries, "number"), _flat(queries, "w")
+    low, high = np.searchsorted(number, asked), np.searchsorted(number, asked, side="right")
+    ends = np.cumsum(queries["number"].combine_chunks().value_lengths().to_numpy())
+    found_q, found_c, found_s = [], [], []
+    for i, (a, b) in enumerate(zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())):
+        n = high[a:b] - low[a:b]
+        total = int(n.sum())
+        if not total:
+            continue
+        at = np.repeat(low[a:b] - (np.cumsum(n) - n), n) + np.arange(total)
+        score = np.bincount(record[at], w[at] * np.repeat(weight[a:b], n), len(ids))
+        hit = np.flatnonzero(score > 0)
+        value = np.round(score[hit], 9)
+        if len(hit) > k:
+            enough = value >= np.partition(value, len(value) - k)[len(value) - k]
+            hit, value = hit[enough], value[enough]
+        best = hit[np.argsort(-value, kind="stable")[:k]]
+        found_q.append(np.full(len(best), i))
+        found_c.append(best)
+        found_s.append(score[best])
+    gather = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+    back = np.array(by_id, np.int64)[gather(found_c, np.int64)]
+    return pa.table([queries["entity_id"].take(pa.array(gather(found_q, np.int64))), pool["entity_id"].take(pa.array(back)), pa.array(gather(found_s, np.float64))], ["s1_id", "cand_id", "tfidf"])
+
+
+def query_topk(terms: DataFrame, weights: DataFrame, queries: DataFrame, k: int = 30, tile: int = TILE, chunk: int = CHUNK) -> DataFrame:
     """(s1_id, cand_id, tfidf, rank): cosine of the query, over the terms of the index, with each record."""
-    q = weigh(term_counts(queries), terms).select("shard", "term", F.col("entity_id").alias("s1_id"), F.col("w").alias("__q"))
-    c = weights.select("shard", "term", F.col("entity_id").alias("cand_id"), "w")
-    scores = q.join(c, ["shard", "term"]).groupBy("s1_id", "cand_id").agg(F.sum(F.col("__q") * F.col("w")).alias("tfidf"))
+
+    def vectors(rows: DataFrame) -> DataFrame:
+        whole = rows.groupBy("shard", "entity_id").agg(F.collect_list(F.struct("number", "w")).alias("x"))
+        return whole.select("shard", "entity_id", F.col("x.number").alias("number"), F.col("x.w").alias("w"))
+
+    parts = lambda n, most: F.greatest(F.lit(1), F.ceil(n / F.lit(float(most)))).cast("int")
+    tiles = terms.groupBy("shard").agg(parts(F.sum("df"), tile).alias("tiles"))
+    sizes = tiles.join(queries.groupBy("shard").agg(parts(F.count(F.lit(1)), chunk).alias("chunks")), "shard")
+    own = lambda n: F.pmod(F.xxhash64("entity_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    keep = [F.col(c).alias(c) for c in ("shard", "chunk", "tile", "entity_id", "number", "w")]  # columns of its own for each side
+    q = vectors(weigh(term_counts(queries), terms)).join(sizes, "shard").withColumn("chunk", own("chunks")).withColumn("tile", every("tiles")).select(*keep)
+    c = vectors(weights).join(sizes, "shard").withColumn("tile", own("tiles")).withColumn("chunk", every("chunks")).select(*keep)
+    by, spread = ["shard", "chunk", "tile"], int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Vectors are small and costly: a number of partitions that Spark does not coalesce by their bytes.
+    q, c = q.repartition(spread, *by), c.repartition(spread, *by)
+    scores = q.groupBy(by).cogroup(c.groupBy(by)).applyInArrow(lambda a, b: _best_of_tile(a, b, k), "s1_id string, cand_id string, tfidf double")
     return ranked(scores, k)
 
 
@@ -89,12 +149,12 @@ def zip_union(candidates: DataFrame, by_zip: DataFrame) -> DataFrame:
     return both.groupBy("s1_id", "cand_id").agg(F.max("tfidf").alias("tfidf"), F.max("rank").alias("rank"))
 
 
-def block_all(s1: DataFrame, pool: DataFrame, k: int = 30, max_features: int = 300_000, min_df: int = 2, use_zip: bool = False, zip_cap: int = 200) -> DataFrame:
+def block_all(s1: DataFrame, pool: DataFrame, k: int = 30, max_features: int = 300_000, min_df: int = 2, use_zip: bool = False, zip_cap: int = 200, zip_order: str = "entity_id") -> DataFrame:
     """Candidates of all normalised S1 records; records without any have no row."""
     queries, candidates = shards(s1, pool)
     terms, weights = build_index(candidates, max_features, min_df)
     found = query_topk(terms, weights, queries, k)
-    return zip_union(found, zip_block(queries, candidates, zip_cap)) if use_zip else found
+    return zip_union(found, zip_block(queries, candidates, zip_cap, zip_order)) if use_zip else found
 
 
 def blocking_recall(candidates: DataFrame, truth: DataFrame, covered: DataFrame) -> DataFrame:

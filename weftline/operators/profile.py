@@ -24,8 +24,8 @@ def match_summary(truth: DataFrame) -> DataFrame:
 
 
 def country_mix(records: DataFrame, top: int = 10) -> DataFrame:
-    """(country, n): the most frequent values; ties by name."""
-    return records.groupBy("country").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "country").limit(top)
+    """(country, n): the most frequent values, ties by name; records without the column's value count as <missing>."""
+    return records.groupBy(F.coalesce("country", F.lit("<missing>")).alias("country")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "country").limit(top)
 
 
 def multi_owner(pairs: DataFrame) -> DataFrame:
@@ -65,3 +65,9 @@ def examples(truth: DataFrame, s1: DataFrame, pool: DataFrame, n: int = 6, seed:
     columns = ["business_name", "business_address", "country"]
     a = s1.select(F.col("entity_id").alias("s1_id"), *[F.col(c).alias(f"s1_{c}") for c in columns])
     return pairs.join(a, "s1_id").join(pool.select(F.col("entity_id").alias("cand_id"), *columns), "cand_id", "left")
+
+
+def pair_totals(labelled: DataFrame) -> DataFrame:
+    """(n_pairs, n_positive, pos_rate) of labelled pairs; the rate is 0 without pairs."""
+    n, p = F.count(F.lit(1)), F.count_if(F.col("label") == 1)
+    return labelled.agg(n.alias("n_pairs"), p.alias("n_positive"), F.when(n == 0, F.lit(0.0)).otherwise(p / n).alias("pos_rate"))

@@ -22,20 +22,25 @@ def _report(rows: DataFrame, rule: str, example: Column) -> DataFrame:
     return found.agg(F.count(F.lit(1)).alias("n")).withColumn("__one", F.lit(1)).join(few.withColumn("__one", F.lit(1)), "__one").select(F.lit(rule).alias("rule"), "n", "examples")
 
 
+def listed_ids(rest: Column) -> Column:
+    """The items between commas as they stand, empty ones and blanks included; a blank list has none."""
+    return F.when(F.trim(F.regexp_replace(rest, r"\s+", " ")) == "", F.array().cast("array<string>")).otherwise(F.split(rest, ","))
+
+
 def check_rows(lines: DataFrame, required: DataFrame, valid: DataFrame | None = None) -> DataFrame:
     """(rule, n, examples) for lines (key, rest, tabbed) of an id list; n is 0 where a rule holds.
 
     required: (s1_id) that must have one row each; valid: (id) of known
     partners, None to leave ids unchecked.
     """
-    ok = lines.where("tabbed").withColumn("ids", F.filter(F.transform(F.split("rest", ","), lambda x: F.trim(x)), lambda x: x != ""))
+    ok = lines.where("tabbed").withColumn("ids", listed_ids(F.col("rest")))
     ids = ok.select("key", F.explode("ids").alias("id"))
     known = ok.select(F.col("key").alias("s1_id")).distinct()
     reports = [
         _report(lines.where(~F.col("tabbed")), "malformed", F.col("key")),
         _report(ok.groupBy("key").count().where("count > 1"), "duplicate_s1", F.col("key")),
         _report(ok.where(F.size("ids") != F.size(F.array_distinct("ids"))), "repeated_id", F.col("key")),
-        _report(ok.where(F.exists("ids", lambda x: x.startswith("S1-"))), "self_match", F.col("key")),
+        _report(ids.where(F.col("id").startswith("S1-")).select("id").distinct(), "self_match", F.col("id")),
         _report(ids.where(~F.col("id").startswith("S1-") & ~F.col("id").startswith("S2-") & ~F.col("id").startswith("S3-")).select("id").distinct(), "bad_prefix", F.col("id")),
         _report(required.select("s1_id").distinct().join(known, "s1_id", "left_anti"), "missing_s1", F.col("s1_id")),
         _report(known.join(required, "s1_id", "left_anti"), "unexpected_s1", F.col("s1_id")),
@@ -48,7 +53,7 @@ def check_rows(lines: DataFrame, required: DataFrame, valid: DataFrame | None =
 
 def outside_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
     """The warning for S1 ids with matches that are not among their candidates; both are lines (key, rest)."""
-    items = lambda df, name: df.select("key", F.filter(F.transform(F.split("rest", ","), lambda x: F.trim(x)), lambda x: x != "").alias(name))
+    items = lambda df, name: df.select("key", listed_ids(F.col("rest")).alias(name))
     both = items(matches, "m").join(items(candidates, "c"), "key", "left")
     empty = F.array().cast("array<string>")
     return _report(both.where(F.size(F.array_except("m", F.coalesce("c", empty))) > 0), "outside_candidates", F.col("key"))
@@ -71,6 +76,11 @@ class Verdict:
         return "\n".join([*[f"ERROR {x}" for x in self.errors], *[f"WARNING {x}" for x in self.warnings], "PASS" if self.passed else "FAIL"])
 
 
+def not_utf8(spark: SparkSession, path: str) -> bool:
+    """Whether any line of the file holds bytes that are no UTF-8."""
+    return not spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
+
+
 def check_header(spark: SparkSession, path: str, header: tuple[str, str]) -> list[str]:
     """Errors of the first line: absent file, empty file, not tab-separated, other names (case and blanks aside)."""
     try:
@@ -79,7 +89,7 @@ def check_header(spark: SparkSession, path: str, header: tuple[str, str]) -> lis
         return [f"{path}: cannot be read: {str(e).splitlines()[0][:200]}"]
     if first is None:
         return [f"{path}: empty file"]
-    if "�" in first[0]:
+    if not_utf8(spark, path):
         return [f"{path}: not UTF-8"]
     names = [x.strip().lower() for x in first[0].split("\t")]
     if len(names) < 2:

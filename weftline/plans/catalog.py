@@ -9,6 +9,8 @@ from weftline.functions import text
 from weftline.operators import assemble, blocking, evaluate, features, matcher, profile, sampling, validate
 from weftline.plans import views
 from weftline.plans.views import BLOCKING_SQL, NORMALISED_SQL, RECORDS_SQL, tfidf_sql
+from weftline.sources import tsv
+from weftline.sources.files import Scratch, write_text
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -366,30 +368,19 @@ def f05_tfidf_baseline(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def gbt_match(spark: SparkSession, d: str) -> DataFrame:
-    """Matches of the validation records by a model and a threshold from the training records."""
-    s1, pool = views.sides(spark, d)
-    truth = views.truth(spark, d)
-    ids = sampling.split(_s1_ids(spark, d), 20)
-    rows = features.build_rows(blocking.block_all(s1, pool), s1, pool, truth).join(ids, "s1_id").cache()
-    train, val = (ids.where(F.col("part") == p) for p in ("train", "val"))
-    model = matcher.train(rows.where("part = 'train'").drop("part"), rounds=10)
-    threshold, _ = matcher.fit_threshold(model, rows.where("part = 'train'"), truth, train)
-    held_out = rows.where("part = 'val'")
-    return assemble.results(matcher.predict(model, held_out), held_out, val, threshold)
-
-
-@query()
-def gbt_match_all(spark: SparkSession, d: str) -> DataFrame:
-    """Matches of every S1 record: each half, by a hash of the id, gets the model and the threshold of the other half."""
+    """Matches of every S1 record: each half, by a hash of the id, gets the model and the threshold of the other half, saved and loaded again."""
     s1, pool = views.sides(spark, d)
     truth = views.truth(spark, d)
+    scratch = Scratch(spark)
     ids = _s1_ids(spark, d).withColumn("fold", F.pmod(F.crc32("s1_id"), F.lit(2)))
-    rows = features.build_rows(blocking.block_all(s1, pool), s1, pool, truth).join(ids, "s1_id").cache()
+    rows = scratch.put("rows", features.build_rows(blocking.block_all(s1, pool), s1, pool, truth).join(ids, "s1_id"))
     out = None
     for fold in (0, 1):
         seen, asked = rows.where(F.col("fold") != fold).drop("fold"), rows.where(F.col("fold") == fold).drop("fold")
         model = matcher.train(seen)
         threshold, _ = matcher.fit_threshold(model, seen, truth, ids.where(F.col("fold") != fold).select("s1_id"))
+        matcher.save(model, threshold, f"{scratch.root}/{fold}")
+        model, threshold = matcher.load(spark, f"{scratch.root}/{fold}")
         found = assemble.results(matcher.predict(model, asked), asked, ids.where(F.col("fold") == fold).select("s1_id"), threshold)
         out = found if out is None else out.unionByName(found)
     return out
@@ -400,9 +391,7 @@ _JOINED = "coalesce(string_agg(distinct {0}, ',' order by {0}), '')"
 
 @query(f"with {BLOCKING_SQL} select entity_id as s1_id, {_JOINED.format('cand_id')} as candidate_entity_ids from s1 left join top on entity_id = s1_id group by 1")
 def candidate_table(spark: SparkSession, d: str) -> DataFrame:
-    from weftline.sources.tsv import joined_ids
-
-    return joined_ids(_candidates(spark, d), _s1_ids(spark, d), "candidate_entity_ids")
+    return tsv.joined_ids(_candidates(spark, d), _s1_ids(spark, d), "candidate_entity_ids")
 
 
 _MATCHED_SQL = BLOCKING_SQL + f""", res as (
@@ -422,11 +411,9 @@ def match_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _parts(spark, d, countries: list[list[str]]):
-    from weftline.sources.tsv import id_list
-
     s1 = views.records(spark, d).where("entity_id like 'S1-%'").select(F.col("entity_id").alias("s1_id"), "country")
-    rows = _results(spark, d).join(s1, "s1_id").cache()
-    part = lambda c, column: rows.where(F.col("country").isin(c)).select("s1_id", id_list(F.col(column)).alias("ids"))
+    rows = Scratch(spark).put("results", _results(spark, d).join(s1, "s1_id"))
+    part = lambda c, column: rows.where(F.col("country").isin(c)).select("s1_id", tsv.id_list(F.col(column)).alias("ids"))
     return [(part(c, "candidate_entity_ids"), part(c, "matched_entity_ids")) for c in countries], s1
 
 
@@ -443,16 +430,138 @@ def abstention_fill(spark: SparkSession, d: str) -> DataFrame:
     return assemble.merged_text(assemble.merge_parts(parts, s1, "fr"))
 
 
-#: Lines of an id list with one fault of each kind among them, for required ids S1-1 to S1-4.
-PLANTED = [("S1-1", "S2-1,S3-1"), ("S1-2", "S2-1,S2-1"), ("S1-3", "S1-4,X-9"), ("S1-1", ""), ("S1-9", "S2-77"), ("no tab", None)]
+#: What the list of an S1 record says, by its document id modulo 30; of all others it is empty.
+PLANTED = {0: "S2-1,S2-1", 3: "S1-3,S2-1", 6: "X-6", 9: " S2-1,,S3-2", 21: "S2-x,S3-2"}
+#: Records without a line, with two lines, with a line without a tab, and with a line of another id.
+ABSENT, TWICE, UNTABBED, RENAMED = 12, 15, 18, 24
 
 
-@query("""select rule, n::bigint as n, examples from (values ('malformed', 1, 'no tab'), ('duplicate_s1', 1, 'S1-1'), ('repeated_id', 1, 'S1-2'), ('self_match', 1, 'S1-3'),
-  ('bad_prefix', 1, 'X-9'), ('missing_s1', 1, 'S1-4'), ('unexpected_s1', 1, 'S1-9'), ('unknown_id', 1, 'S2-77')) as t(rule, n, examples)""")
+def _planted(spark, d) -> DataFrame:
+    """(key, rest, tabbed) lines over all S1 records, faults of each kind among them."""
+    ids = _s1_ids(spark, d).withColumn("m", F.substring_index("s1_id", "-", -1).cast("long") % 30).where(F.col("m") != ABSENT)
+    rest = F.lit("")
+    for m, said in PLANTED.items():
+        rest = F.when(F.col("m") == m, said).otherwise(rest)
+    key = F.when(F.col("m") == RENAMED, F.concat("s1_id", F.lit("x"))).otherwise(F.col("s1_id"))
+    lines = ids.select(key.alias("key"), rest.alias("rest"), (F.col("m") != UNTABBED).alias("tabbed"), "m")
+    return lines.unionByName(lines.where(F.col("m") == TWICE)).drop("m")
+
+
+_PLANTED_SQL = RECORDS_SQL + f""", i as (select entity_id as s1_id, split_part(entity_id, '-', 2)::bigint % 30 as m from r where entity_id like 'S1-%'),
+l0 as (select s1_id || case when m = {RENAMED} then 'x' else '' end as key, case m {" ".join(f"when {m} then '{said}'" for m, said in PLANTED.items())} else '' end as rest, m <> {UNTABBED} as tabbed, m from i where m <> {ABSENT}),
+l as (select key, rest, tabbed from l0 union all select key, rest, tabbed from l0 where m = {TWICE}),
+ok as (select key, case when trim(rest) = '' then [] else string_split(rest, ',') end as ids from l where tabbed), e as (select key, unnest(ids) as id from ok),
+found as (
+  select 'malformed' as rule, key as x from l where not tabbed union all select 'duplicate_s1', key from ok group by key having count(*) > 1
+  union all select 'repeated_id', key from ok where len(ids) <> len(list_distinct(ids)) union all select distinct 'self_match', id from e where id like 'S1-%'
+  union all select distinct 'bad_prefix', id from e where id not like 'S1-%' and id not like 'S2-%' and id not like 'S3-%'
+  union all select 'missing_s1', s1_id from i where s1_id not in (select key from ok) union all select distinct 'unexpected_s1', key from ok where key not in (select s1_id from i)
+  union all select distinct 'unknown_id', id from e where (id like 'S2-%' or id like 'S3-%') and id not in (select entity_id from r)),
+rules as (select unnest(['malformed', 'duplicate_s1', 'repeated_id', 'self_match', 'bad_prefix', 'missing_s1', 'unexpected_s1', 'unknown_id']) as rule)"""
+
+
+@query(f"""with {_PLANTED_SQL} select rules.rule, count(x) as n, coalesce(array_to_string(list_sort(list(distinct x) filter (x is not null))[1:5], ','), '') as examples
+from rules left join found on rules.rule = found.rule group by 1""")
 def validator_report(spark: SparkSession, d: str) -> DataFrame:
-    lines = spark.createDataFrame([(k, v or "", v is not None) for k, v in PLANTED], "key string, rest string, tabbed boolean")
-    required = spark.createDataFrame([(f"S1-{i}",) for i in range(1, 5)], "s1_id string")
-    valid = spark.createDataFrame([("S2-1",), ("S3-1",)], "id string")
-    return validate.check_rows(lines, required, valid).select("rule", "n", F.array_join("examples", ",").alias("examples"))
+    valid = views.records(spark, d).where("entity_id not like 'S1-%'").select(F.col("entity_id").alias("id"))
+    return validate.check_rows(_planted(spark, d), _s1_ids(spark, d), valid).select("rule", "n", F.array_join("examples", ",").alias("examples"))
+
+
+def _source_folder(spark, d) -> str:
+    """The records as three tab-separated files of a test set, in a folder of their own."""
+    folder = Scratch(spark).root
+    for i in (1, 2, 3):
+        rows = views.records(spark, d).where(F.col("entity_id").startswith(f"S{i}-")).select(tsv.RECORD_COLUMNS)
+        quoted = [F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"')) for c in tsv.RECORD_COLUMNS]
+        write_text(rows.select(F.concat_ws("\t", *quoted).alias("value")), f"{folder}/test_source{i}.tsv", "\t".join(tsv.RECORD_COLUMNS))
+    return folder
 
 
+@query(f"with {RECORDS_SQL} select entity_id, business_name, business_address, country from r")
+def source_files(spark: SparkSession, d: str) -> DataFrame:
+    """The records, written as files and loaded again."""
+    folder = _source_folder(spark, d)
+    one, two, three = (tsv.load_source(spark, f"{folder}/test_source{i}.tsv") for i in (1, 2, 3))
+    return one.unionByName(two).unionByName(three)
+
+
+_LISTS_SQL = f"with {NORMALISED_SQL} select s1_id, array_to_string(matched, ',') as matched from lists"
+
+
+def _truth_file(spark, d) -> str:
+    path = f"{Scratch(spark).root}/train_ground_truth.tsv"
+    tsv.write_tsv(views.truth(spark, d), _s1_ids(spark, d), path, validate.MATCH_HEADER)
+    return path
+
+
+@query(_LISTS_SQL)
+def truth_file(spark: SparkSession, d: str) -> DataFrame:
+    """The true matches, written as a file and loaded again."""
+    return tsv.load_ground_truth(spark, _truth_file(spark, d)).select("s1_id", F.array_join("matched", ",").alias("matched"))
+
+
+@query(f"with {NORMALISED_SQL} select l.s1_id as key, array_to_string(matched, ',') as rest from lists l join s1 on s1_id = entity_id where country = 'en'")
+def fetched_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Raw lines of a file of lists, fetched by the ids of one country."""
+    ids = sampling.by_country(views.records(spark, d).where("entity_id like 'S1-%'"), "en")
+    return tsv.fetch(tsv.read_lines(spark, _truth_file(spark, d)), ids, "entity_id").select("key", "rest")
+
+
+@query(f"with {NORMALISED_SQL} select s1_id, array_to_string(matched, ',') as candidates, array_to_string(matched, ',') as matches from lists")
+def part_files(spark: SparkSession, d: str) -> DataFrame:
+    """Lists written as headerless part files of each country, read and merged again."""
+    folder = Scratch(spark).root
+    s1 = views.records(spark, d).where("entity_id like 'S1-%'").select(F.col("entity_id").alias("s1_id"), "country")
+    pairs = views.truth(spark, d)
+    tsv.write_part_files(pairs, pairs, s1, folder)
+    merged = assemble.merge_parts([tsv.read_part_folder(spark, folder)], s1)
+    return merged.select("s1_id", *[F.array_join(c, ",").alias(c) for c in ("candidates", "matches")])
+
+
+@query(f"""with {RECORDS_SQL}, g as (select unnest(['en', 'de']) as config), p as (select unnest(['train', 'val']) as name)
+select config, name, (select count(*) from r where country = config and (entity_id like 'S1-%') = (name = 'train')) as n from g, p""")
+def resumed_stages(spark: SparkSession, d: str) -> DataFrame:
+    """Two results under one configuration and then under another, asked twice: each holds what its own configuration makes."""
+    folder, rows, found = Scratch(spark).root, views.records(spark, d), []
+    for config in ("en", "de", "de"):
+        stage = tsv.Stage(spark, folder, {"country": config})
+        for name, like in (("train", "entity_id like 'S1-%'"), ("val", "entity_id not like 'S1-%'")):
+            found.append((config, name, stage.get(name, lambda: sampling.by_country(rows, config).where(like)).count()))  # noqa: B023
+    return spark.createDataFrame(found, "config string, name string, n long").distinct()
+
+
+@query("select * from (values ('planted', 1, 8, 1), ('right', 0, 0, 1), ('commas', 1, 1, 0)) as t(file, exit_code, n_errors, n_warnings)")
+def checked_files(spark: SparkSession, d: str) -> DataFrame:
+    """Files of an output, checked as a whole: one with a fault of each kind, a right one, and one with commas."""
+    folder = _source_folder(spark, d)
+    planted, right, commas = (f"{folder}/{n}.tsv" for n in ("planted", "right", "commas"))
+    write_text(_planted(spark, d).select(F.when(F.col("tabbed"), F.concat("key", F.lit("\t"), "rest")).otherwise(F.col("key")).alias("value")), planted, "\t".join(validate.MATCH_HEADER))
+    tsv.write_tsv(views.truth(spark, d), _s1_ids(spark, d), right, validate.MATCH_HEADER)
+    write_text(_s1_ids(spark, d).select(F.concat("s1_id", F.lit(",")).alias("value")), commas, ",".join(validate.MATCH_HEADER))
+    found = [(n, validate.validate(spark, path, None, folder, check_ids=True)) for n, path in (("planted", planted), ("right", right), ("commas", commas))]
+    return spark.createDataFrame([(n, v.exit_code, len(v.errors), len(v.warnings)) for n, v in found], "file string, exit_code int, n_errors int, n_warnings int")
+
+
+@query(f"""with {RECORDS_SQL}, i as (select entity_id as s1_id, country, row_number() over (order by md5('42:' || entity_id), entity_id) <= 100 as val from r where entity_id like 'S1-%')
+select s1_id, case when val then 'val' else 'train' end as part from i where (not val and country in ('en', 'de')) or (val and country = 'fr')""")
+def leave_country_out(spark: SparkSession, d: str) -> DataFrame:
+    """A split whose validation part holds a country that training never sees."""
+    parts = sampling.split(views.records(spark, d).where("entity_id like 'S1-%'").select(F.col("entity_id").alias("s1_id"), "country"), 100)
+    train, val = sampling.by_country(parts.where("part = 'train'"), "en,de"), sampling.by_country(parts.where("part = 'val'"), "fr")
+    return train.unionByName(val).select("s1_id", "part")
+
+
+@query(f"with {_LABELLED_SQL} select count(*) as n_pairs, count(*) filter (label = 1) as n_positive, round(coalesce(avg(label), 0), 6) as pos_rate from lab")
+def pair_totals(spark: SparkSession, d: str) -> DataFrame:
+    return profile.pair_totals(_labelled(spark, d)).withColumn("pos_rate", F.round("pos_rate", 6))
+
+
+@query(f"""with {NORMALISED_SQL}, m as (select s1_id, cand_id from truth where cand_id like 'S2-%' union all select entity_id, 'S2-0' from s1),
+o as (select distinct s1_id from m where (s1_id, cand_id) not in (select s1_id, cand_id from truth))
+select 'outside_candidates' as rule, count(*) as n, array_to_string(list_sort(list(s1_id))[1:5], ',') as examples from o""")
+def outside_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """S1 records with a match that is not among their candidates."""
+    ids, truth = _s1_ids(spark, d), views.truth(spark, d)
+    matches = truth.where("cand_id like 'S2-%'").unionByName(ids.withColumn("cand_id", F.lit("S2-0")))
+    lines = lambda pairs: tsv.joined_ids(pairs, ids, "rest").select(F.col("s1_id").alias("key"), "rest")
+    return validate.outside_candidates(lines(matches), lines(truth)).select("rule", "n", F.array_join("examples", ",").alias("examples"))
