@@ -6,15 +6,14 @@ columns of the caller never clash with them.
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from weftline.sources.files import Scratch, shared_dir
+
+__all__ = ["SEPARATORS", "WORD", "Scratch", "components", "cut", "running_total", "shared_dir", "words"]
+
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 SEPARATORS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,45 +24,8 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS), "")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one where none is set, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not found:
-        found = context.getCheckpointDir()
-        if not found:
-            if not context.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            found = tempfile.mkdtemp(prefix="weftline-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-class Scratch:
-    """Tables written to the shared folder: they cut lineage and outlive executors."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/weftline-{uuid.uuid4().hex}"
-        atexit.register(self.close)
-
-    def put(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, name: str = "") -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-    def close(self) -> None:
-        with contextlib.suppress(Exception):
-            self.drop()
-
-
 def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the shared folder; Spark removes it when nothing refers to it.
+    """A reliable checkpoint in the shared folder, which goes with its application.
 
     Its columns are new ones, so it can be joined with what it was made from.
     """
