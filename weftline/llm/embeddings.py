@@ -24,21 +24,12 @@ from weftline.llm.common import components, cut
 
 THRESHOLD = 0.98
 #: Vectors of a label in one tile, at most in expectation.
-BUCKET = 4096
-TILE = 8192
-#: Chance that a pair just at the threshold meets, for ``tables``.
-RECALL = 0.995
-#: Standard errors of the bound on an estimate.
-SIGMAS = 4.0
+TILE = 4096
+#: Standard errors of the bound on an estimate: a link is passed over with a chance of 3e-7.
+SIGMAS = 5.0
 BLOCK = 512
 
 
-def tables(bits: int, threshold: float = THRESHOLD, recall: float = RECALL) -> int:
-    """How many tables of ``bits`` hyperplanes give a pair at the threshold that chance to meet."""
-    meet = (1 - math.acos(threshold) / math.pi) ** bits
-    return 1 if meet >= 1 else max(1, math.ceil(math.log(1 - recall) / math.log(1 - meet)))
-
-
 def rotation(dim: int, seed: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.Generator(np.random.Philox(key=[seed, 1 << 32])).standard_normal((dim, dim)))
     return q * np.sign(np.diag(r))
@@ -104,14 +95,18 @@ def _unite(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             labels[:] = up
 
 
-def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = THRESHOLD, bucket: int = BUCKET, tile: int = TILE, sigmas: float = SIGMAS, seed: int = 42) -> DataFrame:
+def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", threshold: float = THRESHOLD, tile: int = TILE, sigmas: float = SIGMAS, seed: int = 42) -> DataFrame:
     """vec_id, n_links, component_id and kept of each row.
 
     Rows are compared when their labels are equal and not null and their
-    vectors have the same length. A vector that is null, empty, zero or holds
-    null or non-finite components links with nothing: 0 links and itself as
-    its component. Repeated rows are vectors of their own, linked by their
-    equal vectors. Other columns are left out.
+    vectors have the same length, at every size of a label. A vector that is
+    null, empty, zero or holds null or non-finite components links with
+    nothing: 0 links and itself as its component. Rows are vectors of their
+    own, whatever their ids: repeated rows are linked by their equal vectors,
+    an id that repeats with other vectors or labels has a result for each.
+    component_id is the smallest id that is not null, null where there is
+    none; kept compares null ids as equal. Other columns are left out; an
+    empty table gives no rows. Vectors of any length are taken whole.
     """
     x = F.col("v")
     rows = vectors.select(F.col(vec_id).alias("id"), F.col(label).alias("label"), F.col(embedding).cast("array<double>").alias("v"))
@@ -123,15 +118,15 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     rows = rows.withColumn("good", good)
     lone = rows.where(~F.col("good")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     valid = rows.where("good").select("id", "label", F.transform(scaled, lambda e: F.when(e == 0, F.lit(0.0)).otherwise(e)).alias("v"))
-    classes = cut(valid.groupBy("label", "v").agg(F.min("id").alias("cid"), F.count(F.lit(1)).alias("m")).withColumn("dim", F.size("v")))
-    kind = classes.schema
+    # A class is a vector of a label; its number, fixed by the checkpoint, stands for it from here on.
+    counted = valid.groupBy("label", "v").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("m"))
+    classes = cut(counted.select("*", F.size("v").alias("dim"), F.monotonically_increasing_id().alias("c")))
     keys = ["label", "dim"]
-    size = min(bucket, tile)
-    sizes = classes.groupBy(*keys).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / size)).cast("int").alias("tiles"))
+    sizes = classes.groupBy(*keys).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / tile)).cast("int").alias("tiles"))
     spread = classes.join(sizes.withColumnsRenamed({"label": "l2", "dim": "d2"}).hint("merge"), (F.col("label") == F.col("l2")) & (F.col("dim") == F.col("d2"))).drop("l2", "d2")
-    own = F.pmod(F.xxhash64("v"), F.col("tiles")).cast("int")
+    own = F.pmod(F.xxhash64("c"), F.col("tiles")).cast("int")
     spread = spread.withColumn("own", own).withColumn("u", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    spread = spread.withColumns({"lo": F.least("own", "u"), "hi": F.greatest("own", "u")}).drop("u", "tiles")
+    spread = spread.select(*keys, "c", "m", "v", "own", F.least("own", "u").alias("lo"), F.greatest("own", "u").alias("hi"))
 
     def compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         tiled = key[2] != key[3]
@@ -143,15 +138,16 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
             np.add.at(count, b, m[a])
             _unite(labels, a, b)
         some = np.flatnonzero(count > 0)
-        ids = part["cid"].to_numpy()
-        return pd.DataFrame({"cid": ids[some], "links": count[some], "root": ids[labels[some]]})
-
-    cid = kind["cid"].dataType.simpleString()
-    found = cut(spread.groupBy(*keys, "lo", "hi").applyInPandas(compare, f"cid {cid}, links long, root {cid}"))
-    links = found.groupBy("cid").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
-    per_class = classes.join(links.hint("merge"), "cid", "left").join(roots.withColumnRenamed("node", "cid").hint("merge"), "cid", "left")
-    per_class = per_class.select(F.col("label").alias("l2"), F.col("v").alias("v2"), (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("root", "cid").alias("component_id"))
+        ids = part["c"].to_numpy()
+        return pd.DataFrame({"c": ids[some], "links": count[some], "root": ids[labels[some]]})
+
+    found = cut(spread.groupBy(*keys, "lo", "hi").applyInPandas(compare, "c long, links long, root long"))
+    links = found.groupBy("c").agg(F.sum("links").alias("links"))
+    roots = components(found.select(F.col("c").alias("a"), F.col("root").alias("b")))
+    per_class = classes.join(links.hint("merge"), "c", "left").join(roots.withColumnRenamed("node", "c").hint("merge"), "c", "left")
+    per_class = per_class.select("label", "v", "least", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("root", "c").alias("root"))
+    least = per_class.groupBy(F.col("root").alias("r2")).agg(F.min("least").alias("component_id"))
+    per_class = per_class.join(least.hint("merge"), F.col("root") == F.col("r2")).select(F.col("label").alias("l2"), F.col("v").alias("v2"), "n_links", "component_id")
     back = valid.join(per_class.hint("merge"), (F.col("label") == F.col("l2")) & (F.col("v") == F.col("v2")))
-    out = back.select("id", "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    out = back.select("id", "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
     return out.unionByName(lone).withColumnRenamed("id", vec_id)
