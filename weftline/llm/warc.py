@@ -14,12 +14,13 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm.common import Scratch
+from weftline.llm.common import Scratch, cut
 
 VERSION = b"WARC/1.1"
 MAGIC = b"\x1f\x8b\x08"
@@ -36,8 +37,22 @@ def _files(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI: one without a scheme lies where Spark itself would put it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    if uri.startswith("file:"):
+        return "file://" + uri.removeprefix("file:").removeprefix("//")
+    return "s3://" + uri.split("://", 1)[1] if uri.startswith(("s3a://", "s3n://")) else uri
+
+
 def _urn(page: object) -> str:
-    return f"urn:page:{'' if page is None else int(page)}"
+    """Any id, as text; a null id is told from an empty one."""
+    return "urn:none" if page is None else f"urn:page:{quote(str(page), safe='')}"
+
+
+def _page(urn: str) -> str | None:
+    return unquote(urn[1:-1].removeprefix("urn:page:")) if urn.startswith("<urn:page:") else None
 
 
 def _record(page: object, url: str, payload: bytes, digest: str, keeper: object, is_revisit: bool) -> bytes:
@@ -74,7 +89,7 @@ def with_revisits(pages: DataFrame, page_id: str = "page_id", html: str = "html"
 
 
 def write(rows: DataFrame, folder: str) -> pd.DataFrame:
-    """Writes archives of ``with_revisits`` rows; returns (path, bytes) of each, a row for every task.
+    """Writes archives of ``with_revisits`` rows; returns (path, bytes, records) of each, a row for every task.
 
     A task that is repeated writes a file of its own name again; only files
     of tasks that ended well are returned.
@@ -83,21 +98,20 @@ def write(rows: DataFrame, folder: str) -> pd.DataFrame:
     def put(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files, root = _files(folder)
         files.create_dir(root, recursive=True)
-        name, size = f"{uuid.uuid4().hex}.warc.gz", 0
+        name, size, n = f"{uuid.uuid4().hex}.warc.gz", 0, 0
         with files.open_output_stream(f"{root}/{name}", compression=None) as out:
             for batch in batches:
                 for page, url, payload, digest, keeper in zip(batch["page_id"], batch["url"], batch["payload"], batch["digest"], batch["keeper"]):
-                    page, keeper = (None if x is None or x is pd.NA or x != x else int(x) for x in (page, keeper))
                     payload = bytes(payload)
                     member = zlib.compressobj(1, zlib.DEFLATED, 31)
                     record = _record(page, url, payload, digest, keeper, keeper is not None and page != keeper)
                     data = member.compress(record) + member.flush()
                     out.write(data)
-                    size += len(data)
-        yield pd.DataFrame({"path": [f"{folder}/{name}"], "bytes": [size]})
+                    size, n = size + len(data), n + 1
+        yield pd.DataFrame({"path": [f"{folder}/{name}"], "bytes": [size], "records": [n]})
 
-    typed = rows.withColumns({c: F.col(c).cast("decimal(20,0)") for c in ("page_id", "keeper")})
-    return typed.mapInPandas(put, "path string, bytes long").toPandas()
+    typed = rows.withColumns({c: F.col(c).cast("string") for c in ("page_id", "keeper")})
+    return typed.mapInPandas(put, "path string, bytes long, records long").toPandas()
 
 
 class _Stream:
@@ -171,16 +185,19 @@ def parse(record: bytes) -> dict | None:
     http, _, payload = block.partition(b"\r\n\r\n")
     sizes = [int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
     kind, digest = fields.get("warc-type"), fields.get("warc-payload-digest", "").removeprefix("sha1:").lower()
-    page = lambda name: (x := fields.get(name, "<urn:page:>")[1:-1].removeprefix("urn:page:")) and int(x) or (0 if x else None)
     if kind == "response" and (hashlib.sha1(payload).hexdigest() != digest or sizes and sizes[0] != len(payload)):
         return None
-    return {"page_id": page("warc-record-id"), "url": fields.get("warc-target-uri", ""), "record_type": kind, "payload_digest": digest, "payload_bytes": sizes[0] if sizes else len(payload), "refers_to": page("warc-refers-to"), "payload": payload if kind == "response" else None}
+    return {"page_id": _page(fields.get("warc-record-id", "")), "url": fields.get("warc-target-uri", ""), "record_type": kind, "payload_digest": digest, "payload_bytes": sizes[0] if sizes else len(payload), "refers_to": _page(fields.get("warc-refers-to", "")), "payload": payload if kind == "response" else None}
 
 
 def read(spark: SparkSession, archives: pd.DataFrame, split: int = SPLIT, with_payload: bool = True) -> DataFrame:
-    """A row per response or revisit record of the archives (path, bytes), read in byte ranges of ``split``."""
+    """A row per response or revisit record of the archives (path, bytes), read in byte ranges of ``split``; ids as text.
+
+    Damaged members and records whose payload does not have their digest are
+    passed over, as archives from elsewhere hold some; ``roundtrip`` counts.
+    """
     ranges = [(p, a, min(n, a + split)) for p, n in zip(archives["path"], archives["bytes"]) for a in range(0, int(n), split)]
-    schema = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long" + ", payload binary" * with_payload
+    schema = "page_id string, url string, record_type string, payload_digest string, payload_bytes long, refers_to string" + ", payload binary" * with_payload
     if not ranges:
         return spark.createDataFrame([], schema)
     names = [x.split()[0] for x in schema.split(", ")]
@@ -209,17 +226,25 @@ def read(spark: SparkSession, archives: pd.DataFrame, split: int = SPLIT, with_p
 
 def _frame(rows: list, names: list[str]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=names)
-    return frame.astype({k: "Int64" for k in ("page_id", "payload_bytes", "refers_to")})
+    return frame.astype({"payload_bytes": "Int64"})
 
 
-def roundtrip(pages: DataFrame, with_payload: bool = False, **options) -> DataFrame:
+def roundtrip(pages: DataFrame, page_id: str = "page_id", with_payload: bool = False, split: int = SPLIT, **options) -> DataFrame:
     """The pages as they are read back from archives in the shared folder.
 
+    Ids may be of any type that has a text form; they come back as that type.
     A null html is an empty payload and a null url an empty one. Rows that
     repeat the largest id of their payload are responses all. A null id stays
-    null and revisits the group's largest id. An empty table gives no rows.
+    null and revisits the group's largest id. Payloads may be of any length: a
+    task holds one whole, with its record, at a time, and reads it across
+    splits. Other columns are left out; an empty table gives no rows. Fewer or
+    more records read than written raise an error.
     """
     spark = pages.sparkSession
-    folder = f"{Scratch(spark).root}/warc"
-    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-    return read(spark, write(with_revisits(pages, **options), folder), with_payload=with_payload)
+    archives = write(with_revisits(pages, page_id, **options), qualified(spark, f"{Scratch(spark).root}/warc"))
+    found = cut(read(spark, archives, split, with_payload))
+    written, got = int(archives["records"].sum()) if len(archives) else 0, found.count()
+    if written != got:
+        raise ValueError(f"{written} records were written and {got} read")
+    kind = pages.schema[page_id].dataType
+    return found.withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")})
