@@ -43,9 +43,10 @@ def mixture(seed=1):
 
 def test_mix_reaches_its_targets(spark):
     rows = mixture()
-    docs = mixing.sized(spark.createDataFrame(rows, "doc_id long, source string, text string")).drop("text")
-    pieces, sources = mixing.mix(docs)
-    got = mixing.taken(pieces, ["doc_id", "source", "size", "source_size", "target"]).toPandas()
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    pieces, sources = mixing.mix(mixing.sized(docs).drop("text"))
+    got = mixing.word_counts(docs).toPandas()
+    got["source"] = got.doc_id.map({i: s for i, s, _ in rows})
     assert len(got) == len(rows)
     assert sorted(got["size"]) == sorted(len(WORD.findall(t or "")) for _, _, t in rows)
     order = sorted({s for _, s, _ in rows if s is not None}) + [None]
@@ -54,9 +55,9 @@ def test_mix_reaches_its_targets(spark):
     for name, size, target in zip(order, sizes, slow_targets(sizes)):
         assert per[name].source_size == size and per[name].target == pytest.approx(target, rel=1e-12)
         mine = got[got.source.isna() if name is None else got.source == name]
-        assert abs(mine.taken.sum() - target) <= 64 + 1
+        assert abs(mine.taken.sum() - target) <= max(2, min(65, target / 50))
     assert (got.taken <= 3 * got["size"]).all()
-    again = mixing.taken(mixing.mix(docs)[0], ["doc_id", "source", "size", "source_size", "target"]).toPandas()
+    again = mixing.word_counts(docs.repartition(3)).toPandas()
     key = ["doc_id", "taken"]
     assert got.sort_values(key).taken.tolist() == again.sort_values(key).taken.tolist()
     # Every slot holds one block, and no block comes twice in a pass.
@@ -102,6 +103,22 @@ def test_mix_of_nothing(spark):
     assert [r.taken for r in mixing.taken(mixing.mix(blank)[0], ["doc_id", "size"]).collect()] == [0, 0]
 
 
+def test_mix_of_small_sources_and_clashing_columns(spark):
+    rows = [(i, s, "w " * 10, 1, 2, "x") for i, s in enumerate("aaabbbccc")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, start int, rank int, slot string")
+    got = mixing.word_counts(docs).toPandas().groupby("source_size").taken.sum()
+    per = mixing.word_counts(docs).toPandas()
+    per["source"] = per.doc_id.map(lambda i: rows[i][1])
+    taken = per.groupby("source").taken.sum().to_dict()
+    assert all(abs(taken[s] - t) <= 1 for s, t in (("a", 56.25), ("b", 22.5), ("c", 11.25))) and got.sum() == sum(taken.values())
+    pieces, _ = mixing.mix(mixing.sized(docs))
+    assert pieces.columns.count("start") == 1 and "rank" in pieces.columns and pieces.where("rank <> 2").count() == 0
+    # Rows of one id and different texts: reruns in another order agree.
+    same = spark.createDataFrame([(1, "a", f"{'w ' * (i % 7)}x{i}") for i in range(300)] + [(2, "b", "y " * 90)], "doc_id long, source string, text string")
+    runs = [sorted(map(tuple, mixing.word_counts(d).collect())) for d in (same, same.repartition(5).orderBy("text"))]
+    assert runs[0] == runs[1]
+
+
 PACKED = [None, "", "a", "  two  spaces\n\n\tand tabs ", "naïve café ß", "日本語のテキスト 🙂", "x" * 9000, "word " * 5000, "<|endoftext|> is text", "it's they'll I'D 123 4.5", " nbsp em\x85nel", "a\r\nb \n c"]
 
 
@@ -126,14 +143,16 @@ def test_ids_and_pieces_against_the_tokenizer(spark):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
-def test_both_encoders_agree():
-    fast, slow = packing.encoder(packing.default_tokenizer(), packing.default_ranks()), packing.encoder(packing.default_tokenizer(), None)
+def test_runs_give_the_ids_of_whole_texts():
+    from tokenizers import Tokenizer
+
+    mine, plain = packing.encoder(packing.default_tokenizer()), Tokenizer.from_file(packing.default_tokenizer())
+    plain.encode_special_tokens = True
+    assert mine.by_run
     r = random.Random(5)
-    pools = [[chr(c) for c in range(0x250)], list(" \n\t\r\x0b\x0c\x85\xa0\x1c\x1d ab1'.,sS"), list("aeiou  thn'sre ll0123\n")]
-    for _ in range(3000):
-        t = "".join(r.choices(r.choice(pools), k=r.randint(0, 60)))
-        assert fast(t) == slow(t)
-    assert not fast.plain("日本") and not fast.plain("y" * 5000) and not fast.plain(" " * 5000) and fast.plain("plain text")
+    pools = [[chr(c) for c in range(0x250)], list(" \n\t\r\x0b\x0c\x85\xa0\x1c\x1d ab1'.,sS"), list("aeiou  thn'sre ll0123\n"), list(" \n\u3000\u2003\u180ex\u65e5a\0")]
+    texts = ["".join(r.choices(r.choice(pools), k=r.randint(0, 60))) for _ in range(3000)]
+    assert mine(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
 
 
 @pytest.mark.parametrize("sizes", [[], [2048], [1], [1024, 1024, 1025, 1023], [1000, 1000, 1048, 1048, 100, 1948], list(range(1, 600, 7)), [700] * 9])
@@ -144,16 +163,27 @@ def test_packing_is_valid_and_near_the_bound(sizes):
     assert len(used) <= math.ceil(11 / 9 * max(1, sum(sizes) / 2048)) + 1
 
 
-def test_local_search_empties_a_bin():
-    """Best-fit decreasing needs four bins here; exchanges reach the bound of three."""
-    lengths, room = np.array([6, 5, 5, 4, 4, 3, 3]) , 10
-    assert len(packing.fill(lengths, room)) >= 3
-    assert packing.pack_lengths(lengths, room).max() + 1 == 3
+def test_local_search_empties_a_bin_that_best_fit_decreasing_needs():
+    lengths, room = np.random.default_rng(146).integers(20, 45, 40), 100
+    best_fit, found = len(packing.fill(lengths, room)), packing.pack_lengths(lengths, room)
+    assert packing.least_bins(lengths, room) <= found.max() + 1 == best_fit - 1
+    assert np.bincount(found, lengths).max() <= room
     search = packing._Search(np.array([6, 3, 5, 4, 1]), [[0, 1], [2, 3], [4]], 10)
     before = ((10 - search.room) ** 2).sum()
     assert search.empty(2) and ((10 - search.room) ** 2).sum() > before
 
 
+def test_repeated_rows_and_null_ids_are_dealt_to_groups(spark):
+    rows = [(None, 0, 0, 600 + i % 3, "x") for i in range(400)] + [(7, 0, 0, 100, "y")] * 100
+    parts = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, offset string")
+    sizes = parts.groupBy("length").count()
+    out = packing.pack(parts, group=50).toPandas()
+    assert sorted(out.length) == sorted(r[3] for r in rows) and sizes.count() == 4 and set(out.columns) == {"doc_id", "piece", "start", "length", "sequence_id", "offset"}
+    used = out.groupby("sequence_id").length.sum()
+    # Three of about 600 and two of 100 fit a sequence: 134 of them hold all, and groups of 50 cost at most a few more.
+    assert used.max() <= 2048 and 134 <= len(used) <= 140 and out.sequence_id.map(lambda x: x >> 31).nunique() > 1
+
+
 def pages():
     rows = [(i, f"http://h/{i}", f"<p>{i}</p>" * (i * 20)) for i in range(30)]
     big = "é" * 900
@@ -161,10 +191,9 @@ def pages():
 
 
 @pytest.mark.parametrize("split", [warc.SPLIT, 997])
-def test_warc_round_trip(spark, monkeypatch, split):
-    monkeypatch.setattr(warc.read, "__defaults__", (split, True))
+def test_warc_round_trip(spark, split):
     rows = pages()
-    got = warc.roundtrip(spark.createDataFrame(rows, "page_id long, url string, html string"), with_payload=True).collect()
+    got = warc.roundtrip(spark.createDataFrame(rows, "page_id long, url string, html string"), with_payload=True, split=split).collect()
     assert len(got) == len(rows)
     body = {k: (h or "").encode() for k, _, h in rows}
     most = {}
@@ -181,6 +210,18 @@ def test_warc_round_trip(spark, monkeypatch, split):
     assert warc.roundtrip(spark.createDataFrame(rows, "page_id long, url string, html string").limit(0)).count() == 0
 
 
+def test_warc_of_text_ids_and_lost_records(spark, monkeypatch):
+    big = "x" * 2000
+    rows = [("a b/<>", big, "q"), ("ü", big, "q"), ("", "s", "q"), (None, None, "q")]
+    docs = spark.createDataFrame(rows, "page_id string, html string, record_type string")
+    got = {r.page_id: (r.record_type, r.refers_to, r.payload_bytes) for r in warc.roundtrip(docs).collect()}
+    assert got == {"a b/<>": ("revisit", "ü", 2000), "ü": ("response", None, 2000), "": ("response", None, 1), None: ("response", None, 0)}
+    read = warc.read
+    monkeypatch.setattr(warc, "read", lambda *a: read(*a).where("page_id = 'ü'"))
+    with pytest.raises(ValueError, match="4 records were written and 1 read"):
+        warc.roundtrip(docs)
+
+
 def test_reader_skips_what_only_looks_like_a_record():
     record = lambda n: warc._record(n, "u", (b"x%d" % n) * 50, hashlib.sha1((b"x%d" % n) * 50).hexdigest(), None, False)
     zipped = lambda b: (c := zlib.compressobj(1, zlib.DEFLATED, 31)).compress(b) + c.flush()
@@ -188,7 +229,7 @@ def test_reader_skips_what_only_looks_like_a_record():
     data = b"".join(parts)
     for size in (1, 7, 64, len(data)):
         found = [warc.parse(r)["page_id"] for a in range(0, len(data), size) for _, r in warc.records(io.BytesIO(data), a, min(len(data), a + size))]
-        assert found == [1, 2, 4]
+        assert found == ["1", "2", "4"]
 
 
 def test_base_counts_and_scores(spark):

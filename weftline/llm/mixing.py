@@ -87,55 +87,70 @@ def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def plan_sources(docs: DataFrame, source: str, size: str, block_words: int, weights=WEIGHTS, most: float = MOST_PASSES) -> DataFrame:
-    """One row per source: rank by code point (null last), size, weight, target, number of blocks and of slots."""
+    """One row per source: rank by code point (null last), size, weight, target, words of a block, number of blocks and of slots.
+
+    A source of fewer than block_words ** 2 words has shorter blocks, down to
+    one word, so that its target is met to a hundredth or to a word.
+    """
+    counted = cut(docs.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("size"), F.count(F.lit(1)).alias("n_docs")))
+    if counted.count() > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources: weights for so many have no meaning; group them first")
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    sources = docs.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("size"), F.count(F.lit(1)).alias("n_docs")).withColumn("rank", rank)
+    sources = counted.withColumn("rank", rank)
     weight = F.get(F.array(*[F.lit(w) for w in weights]), F.pmod(F.col("rank"), F.lit(len(weights))))
     filled = water_fill(sources.withColumn("weight", weight.cast("bigint")), most)
-    blocks = F.ceil(F.col("size") / F.lit(block_words))
+    block = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.col("size") / F.lit(block_words)))).cast("bigint")
+    blocks = F.ceil(F.col("size") / F.col("words"))
     slots = F.when(F.col("size") > 0, F.least(F.round(F.col("target") * blocks / F.col("size")), F.floor(most * blocks))).otherwise(F.lit(0))
-    return filled.withColumn("n_blocks", blocks.cast("bigint")).withColumn("n_slots", slots.cast("bigint"))
+    return filled.withColumn("words", block).withColumn("n_blocks", blocks.cast("bigint")).withColumn("n_slots", slots.cast("bigint"))
+
+
+#: Columns that the mix adds; columns of docs with these names are replaced.
+ADDED = ("source_size", "target", "start", "block", "from_word", "to_word", "shard", "slot", "epoch")
 
 
 def mix(docs: DataFrame, source: str = "source", size: str = "size", order: str = "doc_id", block_words: int = 64, shard_slots: int = 1024, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """The mix of ``docs`` (with a long ``size`` in words) as (fragments, sources).
 
     fragments: one row for each piece of a document that a slot takes: the
-    columns of docs and source_size, target, start (where the document begins
-    in its source's stream), block, from_word, to_word (words of the document,
-    the end not included), shard, slot and epoch (how many whole passes came
-    before, 0 to 2); a document that no slot takes, an empty one included, has
-    one row with null slot. sources: see ``plan_sources``. A null source is a
-    source of its own; repeated rows are documents of their own; an empty
-    table gives no rows. The same seed gives the same mix, but documents whose
-    ``order`` values repeat within a source may trade places.
+    columns of docs and ADDED: source_size, target, start (where the document
+    begins in its source's stream), block, from_word, to_word (words of the
+    document, the end not included), shard, slot and epoch (how many whole
+    passes came before, 0 to 2); a document that no slot takes, an empty one
+    included, has one row with null slot. sources: see ``plan_sources``. A null
+    source is a source of its own; repeated rows are documents of their own; an
+    empty table gives no rows; a long document is cut into blocks like any
+    other. The same seed gives the same mix, but rows whose ``order`` values
+    tie within a source may trade places: give ties that differ an order.
     """
+    if {source, size, order} & set(ADDED):
+        raise ValueError(f"source, size and order have names other than {ADDED}")
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ADDED])
     spark = docs.sparkSession
     sources = cut(plan_sources(docs, source, size, block_words))
-    rows = sources.orderBy("rank").limit(MOST_SOURCES + 1).select("rank", "n_blocks", "n_slots").toPandas()
-    if len(rows) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources: weights for so many have no meaning; group them first")
+    rows = sources.orderBy("rank").select("rank", "n_blocks", "n_slots").toPandas()  # MOST_SOURCES rows at most
     slots = _slots(spark, rows, shard_slots, seed)
 
-    few = sources.select(F.col("source").alias("__wl_source"), F.col("size").alias("source_size"), "target", "rank", "n_docs")
+    few = sources.select(F.col("source").alias("__wl_source"), F.col("size").alias("source_size"), "target", F.col("rank").alias("__wl_rank"), F.col("n_docs").alias("__wl_docs"), F.col("words").alias("__wl_words"))
     few = F.broadcast(few) if len(rows) <= 10_000 else few
     placed = docs.join(few, F.col(source).eqNullSafe(F.col("__wl_source"))).drop("__wl_source")
-    buckets = F.ceil(F.col("n_docs") / F.greatest(F.lit(float(LEAST_BUCKET)), F.sqrt("n_docs"))).cast("bigint")
+    buckets = F.ceil(F.col("__wl_docs") / F.greatest(F.lit(float(LEAST_BUCKET)), F.sqrt("__wl_docs"))).cast("bigint")
     shuffled = F.xxhash64(F.lit(seed), F.col(order).cast("string"))
-    placed = placed.withColumn("__wl_order", shuffled).withColumn("__wl_bucket", F.pmod("__wl_order", buckets)).drop("n_docs")
-    placed = running_total(placed, ["rank"], "__wl_bucket", ["__wl_order", order], size, "start").drop("__wl_bucket", "__wl_order")
+    placed = placed.withColumn("__wl_order", shuffled).withColumn("__wl_bucket", F.pmod("__wl_order", buckets)).drop("__wl_docs")
+    placed = running_total(placed, ["__wl_rank"], "__wl_bucket", ["__wl_order", order], size, "start").drop("__wl_bucket", "__wl_order")
 
-    first = F.floor(F.col("start") / F.lit(block_words)).cast("bigint")
-    last = F.floor((F.col("start") + F.col(size) - 1) / F.lit(block_words)).cast("bigint")
+    first = F.floor(F.col("start") / F.col("__wl_words")).cast("bigint")
+    last = F.floor((F.col("start") + F.col(size) - 1) / F.col("__wl_words")).cast("bigint")
     # A document longer than many blocks: its block numbers are made in two steps, so no row holds them all.
     run = 4096
     runs = F.when(F.col(size) > 0, F.sequence(F.floor(first / F.lit(run)), F.floor(last / F.lit(run))))
     inside = F.explode_outer(F.when(F.col("__wl_run").isNotNull(), F.sequence(F.greatest(first, F.col("__wl_run") * run), F.least(last, F.col("__wl_run") * run + run - 1))))
     pieces = placed.withColumn("__wl_run", F.explode_outer(runs)).withColumn("block", inside).drop("__wl_run")
-    pieces = pieces.withColumn("from_word", F.greatest(F.lit(0), F.col("block") * block_words - F.col("start")))
-    pieces = pieces.withColumn("to_word", F.least(F.col(size), (F.col("block") + 1) * block_words - F.col("start")))
-    joined = pieces.join(slots.withColumnsRenamed({"rank": "__wl_rank", "block": "__wl_block"}).hint("merge"), (F.col("rank") == F.col("__wl_rank")) & (F.col("block") == F.col("__wl_block")), "left")
-    return joined.drop("__wl_rank", "__wl_block", "rank"), sources
+    pieces = pieces.withColumn("from_word", F.greatest(F.lit(0), F.col("block") * F.col("__wl_words") - F.col("start")))
+    pieces = pieces.withColumn("to_word", F.least(F.col(size), (F.col("block") + 1) * F.col("__wl_words") - F.col("start")))
+    slots = slots.withColumnsRenamed({"rank": "__wl_r2", "block": "__wl_block"})
+    joined = pieces.join(slots.hint("merge"), (F.col("__wl_rank") == F.col("__wl_r2")) & (F.col("block") == F.col("__wl_block")), "left")
+    return joined.drop("__wl_r2", "__wl_block", "__wl_rank", "__wl_words"), sources
 
 
 def _slots(spark, sources: pd.DataFrame, shard_slots: int, seed: int) -> DataFrame:
@@ -195,12 +210,25 @@ def sized(docs: DataFrame, text: str = "text", out: str = "size") -> DataFrame:
     return docs.withColumn(out, F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint"))
 
 
-def taken(pieces: DataFrame, keys: list[str], size: str = "size") -> DataFrame:
-    """One row per document of the mix: ``keys`` and taken, its words in all slots, repeats counted."""
+def taken(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per document of the mix: ``keys``, which tell the documents apart, and taken, its words in all slots, repeats counted."""
     words = F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("to_word") - F.col("from_word"))), F.lit(0))
-    # Documents with words begin at places of their own; empty ones are told apart by a row number.
-    rows = pieces.withColumn("__wl_row", F.when(F.col(size) == 0, F.monotonically_increasing_id()))
-    return rows.groupBy(*keys, "start", "__wl_row").agg(words.cast("bigint").alias("taken")).drop("start", "__wl_row")
+    return pieces.groupBy(*keys).agg(words.cast("bigint").alias("taken"))
+
+
+def word_counts(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
+    """doc_id, size, source_size, target and taken of each row.
+
+    Sizes are words, 0 for null and empty texts. Documents are told apart by a
+    number that a checkpoint fixes, and ordered by id and text, so reruns agree
+    whatever repeats. Other columns are left out.
+    """
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
+    place = F.to_json(F.struct(F.col("doc_id").cast("string").alias("i"), F.xxhash64("text").alias("h")))
+    rows = cut(sized(slim).select("doc_id", "source", "size", place.alias("__wl_place"), F.monotonically_increasing_id().alias("__wl_row")))
+    pieces, _ = mix(rows, order="__wl_place", **options)
+    found = taken(pieces, ["__wl_row", "doc_id", "size", "source_size", "target"])
+    return found.select(F.col("doc_id").alias(doc_id), "size", "source_size", "target", "taken")
 
 
 def mixed_texts(docs: DataFrame, text: str = "text", source: str = "source", order: str = "doc_id", **options) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.llm import ctw, embeddings, licenses, mixing, packing, quality, quotes, simhash, substring, warc
-from weftline.llm.common import cut
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,9 +13,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = cut(mixing.sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text"))
-    pieces, _ = mixing.mix(docs)
-    return mixing.taken(pieces, ["doc_id", "source", "size", "source_size", "target"])
+    return mixing.word_counts(table(spark, sf_dir, "documents"))
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +124,30 @@ meta as (
 )
 select thread_id, coalesce(position, 1)::bigint as position, body.conv_id, body.turn, role, body, n_quoted, reply_conv, reply_turn, coalesce(linked, false) as linked
 from body left join meta on body.conv_id = meta.conv_id and body.turn = meta.turn
+""",
+    "op3_substring_dedup": r"""
+with d as (
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), s as (
+  select r, i, md5(array_to_string(w[i:i + 34], ' ')) as g from (select r, w, unnest(range(1, len(w) - 33)) as i from d)
+), c as (
+  select r, i from (select r, i, count(*) over (partition by g) as n from s) where n > 1
+), u as (
+  select r, list(distinct p) as gone from (select r, unnest(range(i, i + 35)) as p from c) group by r
+), k as (
+  select doc_id, w, coalesce(gone, []) as gone from d left join u using (r)
+), p as (
+  select doc_id, w, len(gone) as n, case when len(gone) = 0 then w else list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: not list_contains(gone, x[2])), lambda x: x[1]) end as kept from k
+)
+select doc_id, len(w)::bigint as n_words, n::bigint as n_removed, sha256(array_to_string(kept, ' ')) as kept_sha256 from p
+""",
+    "op6_warc": r"""
+with p as (
+  select page_id, coalesce(html, '') as h from pages
+), k as (
+  select *, octet_length(encode(h))::bigint as payload_bytes, case when octet_length(encode(h)) >= 1000 then max(page_id) over (partition by h) end as keeper from p
+)
+select page_id, payload_bytes, sha1(h) as payload_digest, case when page_id <> keeper then 'revisit' else 'response' end as record_type, case when page_id <> keeper then keeper end as refers_to from k
 """,
     "op8_embedding_near_dedup": r"""
 with recursive e as (
