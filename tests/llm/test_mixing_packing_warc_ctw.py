@@ -271,17 +271,15 @@ def slow_tree_probability(runs, depth, context, symbol):
 
     p, bits = 1.0, f"{symbol:08b}"
     for j in range(8):
-        one, known = 0.5, False
+        one = 0.5
         for d in range(depth, -1, -1):
             s = context[len(context) - d :]
             a, b = counts(s, bits[:j])
             if a + b == 0:
                 continue
             est = (b + 0.5) / (a + b + 1)
-            share = 1.0
-            if known:
-                share = math.exp(kt(a, b) - math.log(2) - weighted(s, bits[:j]))
-            one, known = share * est + (1 - share) * one, True
+            share = 1.0 if d == depth else math.exp(kt(a, b) - math.log(2) - weighted(s, bits[:j]))
+            one = share * est + (1 - share) * one
         p *= one if bits[j] == "1" else 1 - one
     return p
 
@@ -306,6 +304,21 @@ def test_tree_against_the_definition():
             assert got == pytest.approx(slow_tree_probability(runs, depth, context, symbol), rel=1e-4)
 
 
+def test_score_against_the_definition(spark):
+    """The whole operator on a small table: counting, dealing, joining and scoring."""
+    texts = ["abracadabra", "Abba", None, "", "cab\xe9", "rac rac", "zebra"]
+    docs = spark.createDataFrame([(i, texts[i % len(texts)]) for i in range(12)], "doc_id long, text string")
+    held, lower = lambda k: zlib.crc32(str(k).encode()) % 7 == 2, lambda t: (t or "").encode().lower()
+    rows = [(r.doc_id, lower(r.text)) for r in docs.collect()]
+    for depth in (1, 2, 3):
+        runs = Counter(int(x).to_bytes(depth + 1, "big") for i, t in rows if not held(i) for x in ctw.keys([t], depth)[0])
+        for r in ctw.score(docs, depth=depth).collect():
+            t = dict(rows)[r.doc_id]
+            padded = b"\xff" * depth + t + b"\xff"
+            want = sum(math.log10(slow_tree_probability(runs, depth, padded[i : i + depth], padded[i + depth])) for i in range(len(t) + 1))
+            assert r.score == pytest.approx(want, rel=1e-4)
+
+
 def test_probabilities_sum_to_one_and_learning_pays():
     r = random.Random(2)
     vocabulary = ["".join(r.choices("abcdefgh", k=5)) for _ in range(30)]

@@ -112,12 +112,10 @@ class Tree:
                 own, share = _log_kt(n0, n1), np.ones(len(first))
                 total = own
                 if below[j] is not None:
-                    child, weighted, c0, c1 = below[j]
+                    child, weighted = below[j][:2]
                     up = np.searchsorted(node[first], child & np.uint64((1 << (8 * (d + top) + j)) - 1))
                     of = lambda x: np.bincount(up, x, len(first))  # noqa: E731, B023
-                    rest0, rest1 = n0 - of(c0), n1 - of(c1)  # what stands in contexts that the tree leaves out
-                    split = of(weighted) + np.where(rest0 + rest1 > 0, _log_kt(rest0, rest1), 0.0)
-                    both = np.logaddexp(own, split)
+                    both = np.logaddexp(own, of(weighted))
                     total, share = both - math.log(2), np.exp(own - both)
                 held = None
                 if d < deepest or not ends:
@@ -146,7 +144,7 @@ class Tree:
         out = np.zeros(len(asked))
         for j in range(8):
             one = (asked >> np.uint64(7 - j)) & np.uint64(1) == 1
-            p, known = np.full(len(asked), 0.5), np.zeros(len(asked), bool)
+            p = np.full(len(asked), 0.5)  # the estimate of a context that no training text holds
             for d in range(depth - 1, -1, -1):
                 if not len(self.keys[d]):
                     continue
@@ -154,9 +152,8 @@ class Tree:
                 sums = self.sums[d]
                 n = sums[high[d]] - sums[low[d]]
                 kt = (sums[high[d]] - sums[middle] + 0.5) / (n + 1.0)
-                share = 1.0 if d == depth - 1 else np.where(known, self.stop[d][j][np.minimum(low[d], len(self.keys[d]) - 1)], 1.0)
+                share = 1.0 if d == depth - 1 else self.stop[d][j][np.minimum(low[d], len(self.keys[d]) - 1)]
                 p = np.where(n > 0, share * kt + (1 - share) * p, p)
-                known |= n > 0
                 low[d], high[d] = np.where(one, middle, low[d]), np.where(one, high[d], middle)
             out += np.log(np.where(one, p, 1 - p))
         return out
@@ -379,7 +376,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
     id counts as an empty text. The others are the training texts. score is
     log10 of the model's probability of the lower-cased text and its end. A
     null text is an empty one. Repeated rows are counted and scored each.
-    Without training texts all bytes are equally likely.
+    Without training texts all bytes are equally likely. Texts of any length
+    are scored whole, one batch at a time. Other columns are left out; an empty
+    table gives no rows. Every context of the training texts is in the tree; one
+    that none of them holds has the Krichevsky-Trofimov estimate of no counts.
     """
     if not 1 <= depth <= 6:
         raise ValueError("depth is 1 to 6: a key has eight bytes")
