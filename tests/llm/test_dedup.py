@@ -166,6 +166,41 @@ def test_substring_windows_of_other_sizes(spark):
     assert got == dict(enumerate(slow_removed(texts, 20)))
 
 
+def test_index_entries_dealt_to_several_tasks_find_the_same(spark, monkeypatch):
+    r = random.Random(8)
+    hot = " ".join(f"h{i}" for i in range(20))
+    some = lambda x: [" ".join(f"{x}{r.randrange(9)}" for _ in range(10)) for _ in range(8)]
+    lefts, rights = some("l"), some("r")
+    texts = [f"{r.random()} {r.choice(lefts)} {hot} {r.choice(rights)} {r.random()}" for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = substring.duplicate_spans.__defaults__
+    want = dict(enumerate(slow_removed(texts, substring.WINDOW)))
+    for most in (substring.BLOCKS, 20):
+        monkeypatch.setattr(substring.duplicate_spans, "__defaults__", (*whole[:-1], most))
+        assert {d.doc_id: (d.n_words, d.n_removed, d.kept_sha256) for d in substring.dedup(docs).collect()} == want
+    assert 500 < sum(w[1] for w in want.values()) < 40 * 40
+
+
+def test_factors_are_the_longest_matches_and_reproduce_their_words():
+    r = random.Random(2)
+    shared = [f"s{i}" for i in range(40)]
+    segments = []
+    for _ in range(12):
+        a, b = r.randrange(12), r.randrange(28, 40)
+        segments.append([x.encode() for x in [f"l{r.randrange(2)}" for _ in range(r.randrange(6))] + shared[a:b] + [f"r{r.randrange(2)}" for _ in range(r.randrange(6))]])
+    window, n = 10, 0
+    line = lambda words, p, size: tuple(words[p : p + size])
+    for i, factors in enumerate(substring.parse(segments, window)):
+        held = lambda words, i=i: any(line(s, p, len(words)) == words for j, s in enumerate(segments) if j != i for p in range(len(s)))
+        words, covered = segments[i], set()
+        for p, size in factors:
+            assert size >= window and held(line(words, p, size))
+            covered |= set(range(p, p + size - window + 1))
+            n += 1
+        assert covered == {p for p in range(len(words) - window + 1) if held(line(words, p, window))}
+    assert n >= 12
+
+
 def slow_links(rows):
     def ok(v):
         return v is not None and len(v) and all(x is not None and math.isfinite(x) for x in v) and any(v)
