@@ -59,7 +59,9 @@ def test_against_sql(spark, sf_dir, name):
 def dice_of(text):
     """(license, dice, n_units) by comparing all units with all templates."""
     t = (text or "").lower()
-    units = {" ".join(re.sub("[^a-z0-9]+", " ", u).split()) for u in [t, *re.split(r"\n[ \t\r]*\n", t), *t.split("\n")]}
+    bare = "\n".join(re.sub(r"^[ \t]*[*/#;%-]+", "", x) for x in t.split("\n"))
+    kinds = [t, *re.split(r"\n[ \t\r]*\n", t), *t.split("\n"), *re.split(r"[.!?:;][ \t\r\n]+", t), *re.split(r"\n[ \t\r]*\n", bare)]
+    units = {" ".join(re.sub("[^a-z0-9]+", " ", u).split()) for u in kinds}
     best, n = None, 0
     for u in units:
         w = u.split()
@@ -80,6 +82,8 @@ def dice_of(text):
 LICENSED = [
     None, "", "license", "Licensed under the Apache License, Version 2.0.", "prose before\n  LICENSED under the apache license version 2.0\nprose after",
     licenses.TEMPLATES["MIT-text"][0].replace(" to ", " to\n", 3), "Released under the MIT License.\nReleased under the MIT License.\n\nLicensed under CC BY 4.0.",
+    "Copyright (c) 2020 Foo Bar Inc. Licensed under the Apache License, Version 2.0.",
+    "/*\n * Copyright 2021 Foo\n *\n * " + re.sub("(.{60}\\S*) ", r"\1\n * ", licenses.TEMPLATES["MIT-text"][1]) + "\n *\n */\nint main() {}",
     "This work is licensed under the GNU Lesser General Public License, version 3.", "Licensed under the Apache thing", "licensed " * 500, "Licensed under CC BY-NC 4.0. and some more words here to miss it",
 ]
 
@@ -92,6 +96,8 @@ def test_licenses_against_brute_force(spark):
         want = dice_of(LICENSED[r.doc_id])
         assert (r.license, r.dice and round(r.dice, 9), r.n_units) == want
     assert licenses.scan(docs.limit(0), ["doc_id"]).count() == 0
+    found = {r.doc_id: r.license for r in got}
+    assert [found[i] for i, t in enumerate(LICENSED) if t and "opyright" in t[:20]] == ["Apache-2.0", "MIT-text"]
 
 
 def test_pivots_never_lose_a_unit():
@@ -104,6 +110,20 @@ def test_pivots_never_lose_a_unit():
         assert low <= len(b) <= high and len(held) > len(b) - low
 
 
+def test_short_and_long_quotations(spark):
+    rows = [
+        (1, 0, "u", "ok thanks"), (1, 1, "u", "> ok thanks\nyou are welcome"),  # a short whole passage, in its own conversation
+        (2, 0, "u", "> ok thanks\nfor what"),  # and not in another one
+        (3, 0, "u", "see you later\nand some other things to say"), (4, 0, "u", "> see you later\n> what was not said before\nwell"),  # a short line of a passage
+        (5, 0, "u", "a line of at least eight words links alone\nand more"), (6, 0, "u", "> a line of at least eight words links alone\n> unknown\nyes"),
+        (7, 0, "u", "\u6c34\u306f\u4f55\u5ea6\u3067\u6cb8\u9a30\u3057\u307e\u3059\u304b\u6559\u3048\u3066"), (8, 0, "u", "> \u6c34\u306f\u4f55\u5ea6\u3067\u6cb8\u9a30\u3057\u307e\u3059\u304b\u6559\u3048\u3066\n100"),  # no blanks between words
+        (9, 0, "u", "first paragraph of words\n\nsecond paragraph of words"), (9, 1, "u", "x"), (9, 2, "u", "> first paragraph\n> of words\n>\n> gone\nso"),  # one paragraph, wrapped anew
+    ]
+    got = {(r.conv_id, r.turn): (r.linked, r.reply_conv, r.reply_turn) for r in quotes.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[1, 1] == (True, 1, 0) and got[2, 0] == (False, None, None) and got[4, 0] == (False, None, None)
+    assert got[6, 0] == (True, 5, 0) and got[8, 0] == (True, 7, 0) and got[9, 2] == (True, 9, 0)
+
+
 TALK = [
     (1, 0, "user", "Could you please explain how the kettle works?\nI have no idea."),
     (1, 1, "assistant", "On Monday someone wrote:\n> Could you please explain how the kettle works?\nIt heats the water inside."),

@@ -1,6 +1,7 @@
 """License scans by the Dice coefficient of word bigrams, on DataFrame functions only.
 
-A text is scanned as a whole, by paragraphs and by lines. A unit of a text is
+A text is scanned as a whole, by paragraphs, lines and sentences, and by the
+paragraphs that are left when the marks of comments are taken off. A unit of a text is
 compared with a template only if their sizes allow the threshold. Before
 that, a text must hold one of a few words or bigrams of the templates: a unit
 that reaches the threshold lacks at most ``spare`` bigrams of its template, so
@@ -16,6 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+#: Marks that comments put before each line.
+MARKS = r"(^|\n)[ \t]*[*/#;%-]+"
+SENTENCE = r"[.!?:;][ \t\r\n]+"
+PARAGRAPH = r"\n[ \t\r]*\n"
 #: Words of so many letters are looked for by themselves.
 LONG_WORD = 6
 
@@ -24,7 +29,12 @@ TEMPLATES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0."],
     "Apache-2.0-notice": ["Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."],
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License."],
-    "MIT-text": ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"],
+    "MIT-text": [
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ],
+    "ISC-text": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."],
+    "BSD-2-Clause-text": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License version 3."],
     "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2."],
     "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3."],
@@ -88,7 +98,9 @@ def scan(docs: DataFrame, key: list[str], text: str = "text", templates: dict[st
     the smaller name; n_units counts the different units, as normalised, that
     reach the threshold. A text that does so nowhere, a null or empty one too,
     has null license and dice and 0 units. Repeated rows are scanned each for
-    itself; other columns are left out.
+    itself; other columns are left out; an empty table gives no rows; texts of
+    any length are scanned whole, one in a task. A notice that shares a sentence with
+    many other words is not found.
     """
     known = [(name, template_bigrams(t)) for name, texts in (TEMPLATES if templates is None else templates).items() for t in texts]
     known = [(name, b) for name, b in known if b]
@@ -104,7 +116,7 @@ def scan(docs: DataFrame, key: list[str], text: str = "text", templates: dict[st
         return found
 
     rows = docs.select(*keys, F.lower(F.col(f"`{text}`")).alias("__wl_t"), F.monotonically_increasing_id().alias("__wl_row"))
-    units = F.concat(F.array(t), F.split(t, r"\n[ \t\r]*\n"), F.split(t, "\n"))
+    units = F.concat(F.array(t), F.split(t, PARAGRAPH), F.split(t, "\n"), F.split(t, SENTENCE), F.split(F.regexp_replace(t, MARKS, "$1"), PARAGRAPH))
     each = rows.select(*keys, "__wl_row", F.explode_outer(F.when(near(t), F.filter(units, near))).alias("u"))
     each = each.withColumn("w", F.array_remove(F.split(F.regexp_replace("u", "[^a-z0-9]+", " "), " "), "")).withColumn("b", _bigrams(F.col("w")))
     sizes = [(n, name, b, len(b)) for (name, b), (low, high) in zip(known, span) for n in range(low, high + 1)]
@@ -123,10 +135,7 @@ def sql(table: str = "documents", key: str = "doc_id", text: str = "text", thres
     return rf"""
 with tpl as (select * from (values {rows}) as v(license, tb)),
 d as (select {key}, lower(coalesce({text}, '')) as t, row_number() over () as r from {table}),
-u as (select r, unnest(list_distinct(list_concat([t], list_concat(string_split_regex(t, '
-[ 	
-]*
-'), string_split(t, chr(10)))))) as u from d),
+u as (select r, unnest(list_distinct(list_concat([t], string_split_regex(t, '{PARAGRAPH}'), string_split(t, chr(10)), string_split_regex(t, '{SENTENCE}'), string_split_regex(regexp_replace(t, '{MARKS}', '\1', 'g'), '{PARAGRAPH}')))) as u from d),
 w as (select distinct r, list_filter(string_split(regexp_replace(u, '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') as w from u),
 b as (select r, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as b, w from w),
 p as (select r, w, license, 2.0::double * len(list_intersect(b, tb)) / (len(b) + len(tb)) as dice from b join tpl on len(b) between ceil(len(tb) * {threshold} / (2 - {threshold}) - 1e-9) and floor(len(tb) * (2 - {threshold}) / {threshold} + 1e-9)),

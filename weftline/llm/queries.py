@@ -57,6 +57,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdict(quality.ledger(docs)).drop("text")
 
 
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents fail each rule of the policy in force, and how many only it rejects."""
+    return quality.ablation(quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
     "op1_source_mixing": op1_source_mixing,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -68,6 +73,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
+    "quality_ablation": quality_ablation,
 }
 
 ORACLES = {
@@ -94,20 +100,22 @@ ln as (
 ), ps as (
   select conv_id, turn, t, run, level, string_agg(said, chr(10) order by i) as p from rn where level > 0 group by all
 ), ak as (
-  select conv_id, turn, level, run, 0 as part, p as x from ps union all select conv_id, turn, level, run, 1, unnest(string_split(p, chr(10))) from ps
+  select conv_id, turn, level, run, 0 as part, p as x from ps union all select conv_id, turn, level, run, 1, unnest(string_split_regex(p, '\n[ \t\r]*\n')) from ps
+  union all select conv_id, turn, level, run, 2, unnest(string_split(p, chr(10))) from ps
 ), an as (
   select *, trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g')) as n from ak
 ), asked as (
-  select distinct conv_id, turn, level, run, part, md5(n) as k from an where len(string_split(n, ' ')) >= 3
+  select distinct conv_id, turn, level, run, part, md5(n) as k, case when part = 2 then len(string_split(n, ' ')) >= 8 else len(string_split(n, ' ')) >= 3 or length(n) >= 12 end as far
+  from an where n <> '' and (part < 2 or len(string_split(n, ' ')) >= 3 or length(n) >= 12)
 ), pc as (
   select conv_id, turn, unnest(list_distinct(list_concat([body], list_concat(string_split_regex(body, '\n[ \t\r]*\n'), string_split(body, chr(10)))))) as x from known where body <> ''
 ), px as (
   select conv_id, turn, trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g')) as n from pc
 ), ix as (
-  select struct_pack(c := conv_id, u := turn) as spot, md5(n) as k from px where len(string_split(n, ' ')) >= 3 and md5(n) in (select k from asked)
+  select struct_pack(c := conv_id, u := turn) as spot, md5(n) as k from px where n <> '' and md5(n) in (select k from asked)
 ), near as (select k, spot.c as conv_id, min(spot) as near from ix group by all), first as (select k, min(near) as first from near group by k),
 fd as (
-  select a.*, coalesce(case when near < struct_pack(c := a.conv_id, u := turn) then near end, case when first < struct_pack(c := a.conv_id, u := turn) then first end) as dest
+  select a.*, coalesce(case when near < struct_pack(c := a.conv_id, u := turn) then near end, case when far and first < struct_pack(c := a.conv_id, u := turn) then first end) as dest
   from asked a join first on a.k = first.k left join near on a.k = near.k and a.conv_id = near.conv_id
 ), rp as (
   select conv_id, turn, arg_min(dest, struct_pack(a := level, b := part, c := (dest.c <> conv_id)::int, d := run, e := dest)) as dest from fd where dest is not null group by 1, 2
@@ -192,3 +200,6 @@ with d as (
 select *, failed_bits & 3 <> 0 as base_failed, failed_bits = 0 as kept from b
 """,
 }
+_RULES = ", ".join(f"('{r.name}', {1 << r.bit})" for r in quality.RULES)
+ORACLES["quality_ablation"] = f"""with q as ({ORACLES["op10_quality_rules"]}), r as (select * from (values {_RULES}) as t(rule, bit))
+select rule, (select count(*) from q where failed_bits & bit <> 0) as n_failed, (select count(*) from q where failed_bits = bit) as n_only from r"""

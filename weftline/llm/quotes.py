@@ -3,9 +3,10 @@
 Lines that begin with ``>`` marks are quoted, one level for each mark; lines
 of one level that follow each other are a passage. What a message says itself
 is indexed by hashes of its normalised whole, paragraphs and lines, each hash
-with the first message that has it. A quoted passage is looked up as a whole
-and, where that is not found, by its lines; the message found by the lowest
-level is what the quoting message replies to.
+with the first message that has it. A quoted passage is looked up as a whole,
+by its paragraphs and by its lines; the message found by the lowest level is
+what the quoting message replies to. Short passages are looked up in their own
+conversation only, and so are lines but the long ones: many say them.
 """
 
 from __future__ import annotations
@@ -14,12 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weftline.llm.common import components, running_total
+from weftline.llm.common import components, cut, running_total
 
 QUOTED = r"^[ \t]*>"
 MARKS = r"^((?:[ \t]*>)+)"
-#: Shorter lines are said by many and link nothing by themselves.
+#: Lines of fewer words and characters link nothing by themselves, and such passages nothing in other conversations.
 LEAST_WORDS = 3
+LEAST_CHARACTERS = 12
+#: Lines of so many words link other conversations.
+LONG_LINE = 8
 TURNS = 1024
 
 
@@ -41,7 +45,7 @@ def unquoted(text: Column) -> Column:
 
 
 def _long_enough(n: Column) -> Column:
-    return F.size(F.split(n, " ")) >= LEAST_WORDS
+    return (F.size(F.split(n, " ")) >= LEAST_WORDS) | (F.length(n) >= LEAST_CHARACTERS)
 
 
 def previous_turns(turns: DataFrame) -> DataFrame:
@@ -62,7 +66,11 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     message that it replies to: the first, earlier in (conv, turn), that says
     the quoted passage of the lowest level found, in the same conversation
     before others; without any such, the turn before it in its conversation,
-    null for a first turn. linked tells whether a quotation decided.
+    null for a first turn. linked tells whether a quotation decided. Equal
+    passages are told by their normalised words; ties between passages of one
+    level go to whole ones, then to the own conversation, the earlier passage
+    and the earlier message. Texts of any length are taken whole, a message's
+    lines in one task. Other columns are left out; an empty table gives no rows.
     Conversations that quotations join are a thread, named by the smallest of
     them; position counts from 1 in the order of conversation and turn, in
     which every message follows the one it replies to. Null texts are empty;
@@ -80,22 +88,24 @@ def link(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: s
     new = (F.col("level") != F.lag("level", 1, -1).over(own)).cast("int")
     runs = lines.withColumn("new", new).withColumn("run", F.sum("new").over(own)).where("level > 0")
     passages = runs.groupBy("conv_id", "turn", "h", "run", "level").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "said"))), lambda x: x["said"]), "\n").alias("p"))
-    parts = F.concat(F.array(F.struct(F.lit(0).alias("part"), F.col("p").alias("x"))), F.transform(F.split("p", "\n"), lambda x: F.struct(F.lit(1).alias("part"), x.alias("x"))))
-    asked = passages.select("conv_id", "turn", "level", "run", F.inline(parts)).withColumn("n", normal(F.col("x"))).where(_long_enough(F.col("n")))
-    asked = asked.select("conv_id", "turn", "level", "run", "part", F.md5("n").alias("k")).distinct()
+    some = lambda part, pattern: F.transform(F.split("p", pattern), lambda x: F.struct(F.lit(part).alias("part"), x.alias("x")))
+    parts = F.concat(F.array(F.struct(F.lit(0).alias("part"), F.col("p").alias("x"))), some(1, r"\n[ \t\r]*\n"), some(2, "\n"))
+    asked = passages.select("conv_id", "turn", "level", "run", F.inline(parts)).withColumn("n", normal(F.col("x"))).where((F.col("n") != "") & ((F.col("part") < 2) | _long_enough(F.col("n"))))
+    far = F.when(F.col("part") == 2, F.size(F.split("n", " ")) >= LONG_LINE).otherwise(_long_enough(F.col("n")))
+    asked = asked.select("conv_id", "turn", "level", "run", "part", far.alias("far"), F.md5("n").alias("k")).distinct()
 
     body = unquoted(F.col("t"))
     said = known.select("conv_id", "turn", body.alias("b")).where("b <> ''")
     pieces = F.array_distinct(F.concat(F.array(F.col("b")), F.split("b", r"\n[ \t\r]*\n"), F.split("b", "\n")))
-    index = said.select(at.alias("at"), F.explode(pieces).alias("x")).withColumn("n", normal(F.col("x"))).where(_long_enough(F.col("n"))).select("at", F.md5("n").alias("k"))
+    index = said.select(at.alias("at"), F.explode(pieces).alias("x")).withColumn("n", normal(F.col("x"))).where("n <> ''").select("at", F.md5("n").alias("k"))
     wanted = asked.select("k").distinct()
     # The first message of a hash, in all and in each conversation: one row however many say the same.
     index = index.join(wanted, "k", "left_semi")
-    near = index.groupBy("k", F.col("at.conv_id").alias("conv_id")).agg(F.min("at").alias("near"))
+    near = cut(index.groupBy("k", F.col("at.conv_id").alias("conv_id")).agg(F.min("at").alias("near")))
     first = near.groupBy("k").agg(F.min("near").alias("first"))
     found = asked.join(first, "k").join(near, ["k", "conv_id"], "left")
     before = lambda c: F.when(F.col(c) < at, F.col(c))
-    found = found.withColumn("to", F.coalesce(before("near"), before("first"))).where("to is not null")
+    found = found.withColumn("to", F.coalesce(before("near"), F.when(F.col("far"), before("first")))).where("to is not null")
     order = F.struct("level", "part", F.when(F.col("to.conv_id") == F.col("conv_id"), 0).otherwise(1), "run", "to")
     replies = found.groupBy(F.col("conv_id").alias("c2"), F.col("turn").alias("t2")).agg(F.min_by("to", order).alias("to"))
 
