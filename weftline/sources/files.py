@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def _at(spark: SparkSession, path: str):
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -58,8 +60,14 @@ class Scratch:
         _gone_at_exit(spark, self.root)
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        """The table as read back. Shuffle files of its making go at once, not when the driver collects garbage: nothing reads them again."""
+        path, conf = f"{self.root}/{name}", self.spark.conf
+        before = conf.get(_CLEANUP, "false")
+        conf.set(_CLEANUP, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        finally:
+            conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
