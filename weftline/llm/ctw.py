@@ -411,7 +411,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
     del common, logs
     model = uuid.uuid4().hex
     known = scratch.put("known", probabilities(grams, depth))
-    wanted = parts.where("gram is not null").select("batch", "gram").join(known.hint("merge"), "gram").select("batch", "gram", "lp")
+    wanted = scratch.put("wanted", parts.where("gram is not null").select("batch", "gram").join(known.hint("merge"), "gram").select("batch", "gram", "lp"))
+    for name in ("counts", "grams", "known"):
+        scratch.drop(name)
     names = ["row", "id", "held_out", "score", "bytes", "n_tokens", "n_known", "log_sum", "rare", "times"]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -440,7 +442,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
     schema = f"row long, id {kind}, held_out boolean, score double, bytes long, n_tokens long, n_known long, log_sum double, rare array<binary>, times array<long>"
     scored = scratch.put("scored", texts.groupBy("batch").cogroup(wanted.groupBy("batch")).applyInArrow(run, schema))
     shared.unpersist()
-    for name in ("texts", "counts", "grams", "known"):
+    for name in ("texts", "wanted"):
         scratch.drop(name)
     lone = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("token"), F.col("x.times").alias("times"))
     found = lone.join(tokens.where(F.col("c") < least).hint("merge"), "token")
