@@ -59,13 +59,13 @@ class Scratch:
         self.spark, self.root = spark, f"{shared_dir(spark)}/weftline-{uuid.uuid4().hex}"
         _gone_at_exit(spark, self.root)
 
-    def put(self, name: str, df: DataFrame) -> DataFrame:
+    def put(self, name: str, df: DataFrame, codec: str = "snappy") -> DataFrame:
         """The table as read back. Shuffle files of its making go at once, not when the driver collects garbage: nothing reads them again."""
         path, conf = f"{self.root}/{name}", self.spark.conf
         before = conf.get(_CLEANUP, "false")
         conf.set(_CLEANUP, "true")
         try:
-            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+            df.write.mode("overwrite").option("compression", codec).parquet(path)
         finally:
             conf.set(_CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
