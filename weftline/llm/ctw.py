@@ -399,8 +399,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
             yield pa.RecordBatch.from_arrays([pa.array((part << 32) + before // BATCH), pa.array(np.arange(row, row + n)), *batch.columns], ["batch", "row", *batch.schema.names])
             row, size = row + n, int(before[-1]) if n else size
 
-    texts = scratch.put("texts", base.mapInArrow(numbered, f"batch long, row long, id {kind}, held_out boolean, t binary"))
-    parts = scratch.put("counts", texts.select("batch", "held_out", "t").mapInArrow(lambda b: _counted(b, depth), "batch long, gram long, token binary, n long"))
+    texts = scratch.put("texts", base.mapInArrow(numbered, f"batch long, row long, id {kind}, held_out boolean, t binary"), "zstd")
+    parts = scratch.put("counts", texts.select("batch", "held_out", "t").mapInArrow(lambda b: _counted(b, depth), "batch long, gram long, token binary, n long"), "zstd")
     grams = scratch.put("grams", parts.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n")))
     tokens = scratch.put("tokens", parts.where("token is not null").groupBy("token").agg(F.sum("n").alias("c")))
     n_train, n_distinct = tokens.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
@@ -411,7 +411,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
     del common, logs
     model = uuid.uuid4().hex
     known = scratch.put("known", probabilities(grams, depth))
-    wanted = scratch.put("wanted", parts.where("gram is not null").select("batch", "gram").join(known.hint("merge"), "gram").select("batch", "gram", "lp"))
+    wanted = scratch.put("wanted", parts.where("gram is not null").select("batch", "gram").join(known.hint("merge"), "gram").select("batch", "gram", "lp"), "zstd")
     for name in ("counts", "grams", "known"):
         scratch.drop(name)
     names = ["row", "id", "held_out", "score", "bytes", "n_tokens", "n_known", "log_sum", "rare", "times"]
